@@ -80,7 +80,7 @@ def to_money(col: Column, strict: bool = False) -> Column:
 
     ``strict`` fails the job on unparseable text instead of giving NULL.
     """
-    text = F.regexp_replace(clean_trim(col), r"(\.\d\d)\d+$", "$1")
+    text = F.regexp_replace(clean_trim(col), r"(\.\d\d)\d+\z", "$1")
     return text.cast(MONEY) if strict else text.try_cast(MONEY)
 
 

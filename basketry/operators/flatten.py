@@ -55,17 +55,17 @@ def object_lists(kind: T.StructType) -> list[str]:
 
 def flatten(
     envelopes: DataFrame,
-    entity: str,
+    shape: str | T.StructType,
     items: str = "all",
     missing: str | None = None,
     keep_json: bool = True,
 ) -> DataFrame:
-    """RAW rows of one entity from envelopes ``(json_data, event_time[, doc])``.
+    """RAW rows of one entity (or document schema) from envelopes ``(json_data, event_time[, doc])``.
 
     ``items="all"`` also keeps the whole item list next to the first-item columns, so nothing of
     a purchase is lost and RAW stays one row per document. ``missing=""`` writes blanks for NULL.
     """
-    schema = text_schema(entity)
+    schema = text_schema(shape) if isinstance(shape, str) else shape
     if "doc" not in envelopes.columns:
         envelopes = envelopes.withColumn("doc", F.from_json("json_data", schema))
     leaves = leaf_columns(schema, F.col("doc"))

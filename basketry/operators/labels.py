@@ -16,7 +16,7 @@ def extract_labels(col: Column, pattern: str = LABEL_PATTERN) -> Column:
 
 def tidy_labels(labels: Column) -> Column:
     """Trim each label and drop the commas left at its end."""
-    return F.transform(labels, lambda x: F.regexp_replace(F.trim(x), ",+$", ""))
+    return F.transform(labels, lambda x: F.regexp_replace(F.trim(x), r",+\z", ""))
 
 
 def drop_blank(labels: Column) -> Column:

@@ -67,30 +67,33 @@ def read_envelopes(
     )
 
 
-def parse_documents(envelopes: DataFrame, entity: str) -> DataFrame:
-    """Envelopes with the document parsed as text leaves into ``doc``."""
-    schema = T.StructType([*text_schema(entity), T.StructField(CORRUPT, T.StringType())])
+def parse_documents(envelopes: DataFrame, shape: str | T.StructType) -> DataFrame:
+    """Envelopes with the document parsed as text leaves into ``doc``.
+
+    ``shape`` names an entity or gives the schema of the document.
+    """
     options = {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": CORRUPT,
         "allowSingleQuotes": "false",
     }
+    schema = T.StructType([*_schema(shape), T.StructField(CORRUPT, T.StringType())])
     return envelopes.withColumn("doc", F.from_json("json_data", schema, options))
 
 
-def _unusable(entity: str) -> Column:
-    doc = F.col("doc")
-    nothing = reduce(Column.__and__, (doc[f.name].isNull() for f in text_schema(entity)))
-    missing = F.coalesce(F.col("json_data"), F.lit("")) == ""
-    return missing | doc.isNull() | (doc[CORRUPT].isNotNull() & nothing)
+def _schema(shape: str | T.StructType) -> T.StructType:
+    return text_schema(shape) if isinstance(shape, str) else shape
 
 
-def split_valid(envelopes: DataFrame, entity: str) -> tuple[DataFrame, DataFrame]:
+def split_valid(
+    envelopes: DataFrame, shape: str | T.StructType
+) -> tuple[DataFrame, DataFrame]:
     """Envelopes with a readable document (parsed into ``doc``), and the ones to set aside."""
-    parsed = parse_documents(envelopes, entity)
-    bad = F.coalesce(_unusable(entity), F.lit(True))
-    reason = F.when(
-        F.coalesce(F.col("json_data"), F.lit("")) == "", F.lit("missing json_data")
-    ).otherwise(F.lit("unparseable json_data"))
+    doc, text = F.col("doc"), F.coalesce(F.col("json_data"), F.lit(""))
+    nothing = reduce(Column.__and__, (doc[f.name].isNull() for f in _schema(shape)))
+    broken = doc.isNull() | (doc[CORRUPT].isNotNull() & nothing)
+    bad = (text == "") | F.coalesce(broken, F.lit(True))
+    reason = F.when(text == "", "missing json_data").otherwise("unparseable json_data")
+    parsed = parse_documents(envelopes, shape)
     rejects = parsed.filter(bad).select("json_data", "event_time", reason.alias("reason"))
     return parsed.filter(~bad), rejects
