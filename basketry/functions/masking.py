@@ -9,15 +9,10 @@ _BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 
 
 def normalize_phone(col: Column) -> Column:
-    """Digits and ``+`` only; numbers written with 8, 7 or no prefix get ``+7``."""
+    """Digits and ``+`` only; a leading 8, a leading 7 of a number without ``+``, or nothing
+    before ten characters becomes ``+7``. Alternatives apply in that order."""
     kept = F.regexp_replace(col, r"[^\p{Nd}+]", "")
-    rest = F.substr(kept, F.lit(2))
-    return (
-        F.when(kept.startswith("8"), F.concat(F.lit("+7"), rest))
-        .when(kept.startswith("7") & ~kept.contains("+"), F.concat(F.lit("+7"), rest))
-        .when(F.length(kept) == 10, F.concat(F.lit("+7"), kept))
-        .otherwise(kept)
-    )
+    return F.regexp_replace(kept, r"^(?:8|7(?!.*\+)|(?=.{10}\z))", "+7")
 
 
 def normalize_email(col: Column) -> Column:

@@ -67,20 +67,6 @@ def read_envelopes(
     )
 
 
-def parse_documents(envelopes: DataFrame, shape: str | T.StructType) -> DataFrame:
-    """Envelopes with the document parsed as text leaves into ``doc``.
-
-    ``shape`` names an entity or gives the schema of the document.
-    """
-    options = {
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": CORRUPT,
-        "allowSingleQuotes": "false",
-    }
-    schema = T.StructType([*_schema(shape), T.StructField(CORRUPT, T.StringType())])
-    return envelopes.withColumn("doc", F.from_json("json_data", schema, options))
-
-
 def _schema(shape: str | T.StructType) -> T.StructType:
     return text_schema(shape) if isinstance(shape, str) else shape
 
@@ -88,12 +74,31 @@ def _schema(shape: str | T.StructType) -> T.StructType:
 def split_valid(
     envelopes: DataFrame, shape: str | T.StructType
 ) -> tuple[DataFrame, DataFrame]:
-    """Envelopes with a readable document (parsed into ``doc``), and the ones to set aside."""
-    doc, text = F.col("doc"), F.coalesce(F.col("json_data"), F.lit(""))
-    nothing = reduce(Column.__and__, (doc[f.name].isNull() for f in _schema(shape)))
-    broken = doc.isNull() | (doc[CORRUPT].isNotNull() & nothing)
-    bad = (text == "") | F.coalesce(broken, F.lit(True))
-    reason = F.when(text == "", "missing json_data").otherwise("unparseable json_data")
-    parsed = parse_documents(envelopes, shape)
-    rejects = parsed.filter(bad).select("json_data", "event_time", reason.alias("reason"))
-    return parsed.filter(~bad), rejects
+    """Envelopes with a readable document, parsed as text leaves into ``doc``, and the others.
+
+    ``shape`` names an entity or gives the schema of the document. The check sits in the array
+    that is exploded: as a filter it would be pushed below the parse and repeat it per field.
+    """
+    schema = T.StructType([*_schema(shape), T.StructField(CORRUPT, T.StringType())])
+    options = {
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": CORRUPT,
+        "allowSingleQuotes": "false",
+    }
+    parsed = F.array(F.from_json("json_data", schema, options))
+    sent = F.coalesce(F.col("json_data"), F.lit("")) != ""
+
+    def readable(doc: Column) -> Column:
+        found = reduce(Column.__or__, (doc[f.name].isNotNull() for f in _schema(shape)))
+        return doc.isNotNull() & (doc[CORRUPT].isNull() | found)
+
+    good = envelopes.filter(sent).withColumn("doc", F.explode(F.filter(parsed, readable)))
+    unparsed = (
+        envelopes.filter(sent)
+        .withColumn("_bad", F.explode(F.filter(parsed, lambda d: ~readable(d))))
+        .select("json_data", "event_time", F.lit("unparseable json_data").alias("reason"))
+    )
+    unsent = envelopes.filter(~sent).select(
+        "json_data", "event_time", F.lit("missing json_data").alias("reason")
+    )
+    return good, unparsed.unionByName(unsent)
