@@ -11,14 +11,22 @@ from pyspark.sql import functions as F
 from basketry.plans import marts as build
 from basketry.queries import retail
 from basketry.queries.registry import Source, query
+from basketry.session import scratch_dir
 
 
 def _addresses(t: Source) -> DataFrame:
     return build.addresses(retail.raw(t, "customers"), retail.raw(t, "stores"))
 
 
-def _streets(t: Source, key: str, name: str) -> DataFrame:
-    return _addresses(t).select(F.col("address_id").alias(key), F.col("street").alias(name))
+def _stored(t: Source, df: DataFrame) -> DataFrame:
+    """A reference table as later steps see it: written, then read back with a known size."""
+    path = scratch_dir(t.spark, "reference")
+    df.write.parquet(path)
+    return t.spark.read.parquet(path)
+
+
+def _streets(addresses: DataFrame, key: str, name: str) -> DataFrame:
+    return addresses.select(F.col("address_id").alias(key), F.col("street").alias(name))
 
 
 _PLACES = "nation ON {key} = n_nationkey JOIN region ON n_regionkey = r_regionkey"
@@ -104,10 +112,15 @@ def mart_store_managers(t: Source) -> DataFrame:
     """,
 )
 def mart_dim_customers(t: Source) -> DataFrame:
-    rows = build.dim_customers(retail.raw(t, "customers"), _addresses(t))
+    addresses = _stored(t, _addresses(t))
+    rows = build.dim_customers(retail.raw(t, "customers"), addresses)
     return (
-        rows.join(_streets(t, "address_id", "shop_street"), "address_id", "left")
-        .join(_streets(t, "delivery_address_id", "home_street"), "delivery_address_id", "left")
+        rows.join(_streets(addresses, "address_id", "shop_street"), "address_id", "left")
+        .join(
+            _streets(addresses, "delivery_address_id", "home_street"),
+            "delivery_address_id",
+            "left",
+        )
         .select(
             "customer_id",
             "first_name",
@@ -145,8 +158,8 @@ def mart_dim_customers(t: Source) -> DataFrame:
 )
 def mart_dim_products(t: Source) -> DataFrame:
     raw = retail.raw(t, "products")
-    categories = build.categories(raw)
-    rows = build.dim_products(raw, build.manufacturers(raw), categories)
+    categories = _stored(t, build.categories(raw))
+    rows = build.dim_products(raw, _stored(t, build.manufacturers(raw)), categories)
     named = rows.join(categories.select("category_id", "category_name"), "category_id", "left")
     return named.select(
         "product_id",
@@ -179,8 +192,10 @@ def mart_dim_products(t: Source) -> DataFrame:
 )
 def mart_dim_stores(t: Source) -> DataFrame:
     raw = retail.raw(t, "stores")
-    networks, managers = build.store_networks(raw), build.store_managers(raw)
-    rows = build.dim_stores(raw, networks, managers, _addresses(t))
+    networks = _stored(t, build.store_networks(raw))
+    managers = _stored(t, build.store_managers(raw))
+    addresses = _stored(t, _addresses(t))
+    rows = build.dim_stores(raw, networks, managers, addresses)
     flags = ("accepts_online_orders", "delivery_available", "warehouse_connected")
     return (
         rows.join(
@@ -193,7 +208,7 @@ def mart_dim_stores(t: Source) -> DataFrame:
             "manager_id",
             "left",
         )
-        .join(_streets(t, "address_id", "street"), "address_id", "left")
+        .join(_streets(addresses, "address_id", "street"), "address_id", "left")
         .select(
             "store_id",
             "store_name",
@@ -216,7 +231,7 @@ def mart_dim_stores(t: Source) -> DataFrame:
     """,
 )
 def mart_store_categories(t: Source) -> DataFrame:
-    categories = build.categories(retail.raw(t, "products"))
+    categories = _stored(t, build.categories(retail.raw(t, "products")))
     pairs = build.store_categories(retail.raw(t, "stores"), categories)
     return pairs.join(
         categories.select("category_id", "category_name"), "category_id", "left"
@@ -257,8 +272,9 @@ def shown_purchases(facts: DataFrame, streets: DataFrame) -> DataFrame:
 
 @query("mart_fact_purchases", FACT_PURCHASES)
 def mart_fact_purchases(t: Source) -> DataFrame:
-    facts = build.fact_purchases(retail.raw(t, "purchases"), _addresses(t))
-    return shown_purchases(facts, _streets(t, "delivery_address_id", "delivery_street"))
+    addresses = _stored(t, _addresses(t))
+    facts = build.fact_purchases(retail.raw(t, "purchases"), addresses)
+    return shown_purchases(facts, _streets(addresses, "delivery_address_id", "delivery_street"))
 
 
 @query(

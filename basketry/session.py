@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.ui.enabled": "false",
+    # Call sites of every Column call are only for error messages and slow plan building down.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
