@@ -7,6 +7,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Emoji code-point ranges, the five label emoji, characters kept in labels.
 EMOJI_RANGES = (
@@ -48,7 +49,7 @@ def clean_label(col: Column) -> Column:
     return clean_text(strip_emoji(col))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfc(texts: pd.Series) -> pd.Series:
     return texts.str.normalize("NFC")
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -255,8 +256,9 @@ def customer_flags(rows: DataFrame, scope: Scope, names: Sequence[str] = FLAG_NA
     aggregates = [f.rule(scope).alias(f.name) for f in wanted if f.rule]
     words = [c for c in rows.columns if c.startswith("mask_")]
     if VARIED in names and words:
-        found = sum((F.bit_count(F.bit_or(w)) for w in words[1:]), F.bit_count(F.bit_or(words[0])))
-        aggregates.append((found >= VARIED_FROM).alias(VARIED))
+        # A word none of the customer's categories falls into has no value.
+        found = [F.coalesce(F.bit_count(F.bit_or(w)), F.lit(0)) for w in words]
+        aggregates.append((reduce(Column.__add__, found) >= VARIED_FROM).alias(VARIED))
     return rows.groupBy("customer_id").agg(*aggregates)
 
 

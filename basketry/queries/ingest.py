@@ -18,7 +18,7 @@ from basketry.session import scratch_dir
 from basketry.sources.envelopes import split_valid, to_envelope
 from basketry.sources.tables import write_raw
 
-_EVENT = T.StructType.fromDDL("event_id string, user_id string, value string, props string")
+_EVENT = ("event_id", "user_id", "value", "props")
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE = r"\+?[0-9][0-9 ()-]{8,}[0-9]"
 
@@ -30,9 +30,8 @@ PHONE = r"\+?[0-9][0-9 ()-]{8,}[0-9]"
     """,
 )
 def raw_envelope_roundtrip(t: Source) -> DataFrame:
-    docs = t.events.select(*_EVENT.names)
-    envelopes = to_envelope(docs, "events", "2024-02-01 07:00:00")
-    rows = flatten(envelopes, _EVENT)
+    envelopes = to_envelope(t.events.select(*_EVENT), "events", "2024-02-01 07:00:00")
+    rows = flatten(envelopes, T.StructType([T.StructField(n, T.StringType()) for n in _EVENT]))
     return rows.select(
         F.col("event_id").cast("long").alias("event_id"),
         F.col("user_id").cast("long").alias("user_id"),
