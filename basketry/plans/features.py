@@ -234,20 +234,40 @@ def roll_up_items(
     )
 
 
-def purchase_rows(
-    purchases: DataFrame, baskets: DataFrame, stores: DataFrame, addresses: DataFrame
+def item_facts(
+    purchases: DataFrame, items: DataFrame, products: DataFrame, categories: DataFrame
 ) -> DataFrame:
-    """Purchases with their basket and the city of the store.
+    """Purchases with their items, each with its product and category; item grain."""
+    goods = products.join(
+        categories.select("category_id", "category_name"), "category_id", "left"
+    )
+    return purchases.join(items, "purchase_id", "left").join(goods, "product_id", "left")
+
+
+def with_basket(purchases: DataFrame, baskets: DataFrame) -> DataFrame:
+    """Purchases with the roll-up of their items, NULL where they have none."""
+    return purchases.join(baskets, "purchase_id", "left")
+
+
+def store_city(purchases: DataFrame, stores: DataFrame, addresses: DataFrame) -> DataFrame:
+    """Purchases with the city of their store.
 
-    The city goes by its smallest address id: comparing numbers instead of names keeps the
-    customer roll-up a hash aggregate.
+    ``city_no`` stands for the city by the smallest address id in it: comparing numbers instead
+    of names keeps the customer roll-up a hash aggregate.
     """
     places = stores.select("store_id", "address_id").join(
         addresses.select("address_id", "city"), "address_id", "left"
     )
     cities = places.groupBy("city").agg(F.min("address_id").alias("city_no"))
-    numbered = places.join(cities, "city", "left").select("store_id", "city_no")
-    return purchases.join(baskets, "purchase_id", "left").join(numbered, "store_id", "left")
+    numbered = places.join(cities, "city", "left").select("store_id", "city", "city_no")
+    return purchases.join(numbered, "store_id", "left")
+
+
+def purchase_rows(
+    purchases: DataFrame, baskets: DataFrame, stores: DataFrame, addresses: DataFrame
+) -> DataFrame:
+    """Purchases with their basket and the city of the store."""
+    return store_city(with_basket(purchases, baskets), stores, addresses)
 
 
 def customer_flags(rows: DataFrame, scope: Scope, names: Sequence[str] = FLAG_NAMES) -> DataFrame:
@@ -264,17 +284,13 @@ def customer_flags(rows: DataFrame, scope: Scope, names: Sequence[str] = FLAG_NA
 
 def _varied_from_pairs(marts: Mapping[str, DataFrame]) -> DataFrame:
     """Distinct categories per customer where the categories are too many for a mask."""
-    pairs = (
-        marts["fact_purchase_items"]
-        .select("purchase_id", "product_id")
-        .join(marts["dim_products"].select("product_id", "category_id"), "product_id")
-        .dropna(subset=["category_id"])
-        .select("purchase_id", "category_id")
-        .distinct()
-        .join(marts["fact_purchases"].select("purchase_id", "customer_id"), "purchase_id")
-        .select("customer_id", "category_id")
-        .distinct()
+    facts = item_facts(
+        marts["fact_purchases"].select("purchase_id", "customer_id"),
+        marts["fact_purchase_items"].select("purchase_id", "product_id"),
+        marts["dim_products"].select("product_id", "category_id"),
+        marts["categories"],
     )
+    pairs = facts.select("customer_id", "category_id").dropna().distinct()
     return pairs.groupBy("customer_id").agg(
         (F.count(F.lit(1)) >= VARIED_FROM).alias(VARIED)
     )

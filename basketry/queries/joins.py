@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from basketry.functions.clean import clean_text
 from basketry.operators.dedup import distinct_labels, latest_by_key, union_sources, upsert_latest
 from basketry.operators.lookup import lookup
+from basketry.plans import features
+from basketry.queries import matrix
 from basketry.queries.registry import Source, query
 
 
@@ -204,3 +206,56 @@ def addresses_union(t: Source) -> DataFrame:
 def ref_distinct_labels(t: Source) -> DataFrame:
     rows = t.part.select(F.col("p_brand").alias("label"), F.col("p_partkey").alias("seen"))
     return distinct_labels(rows, "label", "seen")
+
+
+@query(
+    "item_facts",
+    """
+    SELECT c_mktsegment AS segment, p_type AS category_name, count(l_orderkey) AS n_items,
+           count(DISTINCT o_orderkey) AS n_purchases
+    FROM customer LEFT JOIN orders ON o_custkey = c_custkey
+    LEFT JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey
+    GROUP BY ALL
+    """,
+)
+def item_facts(t: Source) -> DataFrame:
+    facts = features.item_facts(
+        matrix.purchases(t).select("purchase_id", "customer_id"),
+        matrix.items(t, "l_orderkey"),
+        matrix.products(t),
+        matrix.categories(t),
+    )
+    people = t.customer.select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("segment")
+    )
+    return (
+        people.join(facts, "customer_id", "left")
+        .groupBy("segment", "category_name")
+        .agg(
+            F.count("l_orderkey").alias("n_items"),
+            F.count_distinct("purchase_id").alias("n_purchases"),
+        )
+    )
+
+
+@query(
+    "store_city",
+    """
+    SELECT l_orderkey, l_linenumber, n_name AS city,
+           (min(s_nationkey) OVER (PARTITION BY n_name) = s_nationkey)::INT AS numbered
+    FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey
+    LEFT JOIN nation ON s_nationkey = n_nationkey
+    """,
+)
+def store_city(t: Source) -> DataFrame:
+    lines = t.lineitem.withColumnRenamed("l_suppkey", "store_id")
+    placed = features.store_city(lines, matrix.stores(t), matrix.addresses(t))
+    city = placed.join(
+        matrix.addresses(t).select("city", F.col("address_id").alias("known")), "city", "left"
+    )
+    return city.select(
+        "l_orderkey",
+        "l_linenumber",
+        "city",
+        (F.col("city_no") == F.col("known")).cast("int").alias("numbered"),
+    )

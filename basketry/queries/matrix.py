@@ -78,28 +78,37 @@ def products(t: Source) -> DataFrame:
     )
 
 
-def baskets(t: Source, extra: Mapping[str, Column] | None = None, masks: bool = True) -> DataFrame:
-    goods = products(t)
-    categories = goods.select("category_id", F.col("category_id").alias("category_name")).distinct()
-    items = t.lineitem.select(
-        F.col("l_orderkey").alias("purchase_id"),
-        F.col("l_partkey").alias("product_id"),
-        *(("l_suppkey",) if extra else ()),
+def categories(t: Source) -> DataFrame:
+    return t.part.select(
+        F.col("p_type").alias("category_id"), F.col("p_type").alias("category_name")
+    ).distinct()
+
+
+def items(t: Source, *more: str) -> DataFrame:
+    return t.lineitem.select(
+        F.col("l_orderkey").alias("purchase_id"), F.col("l_partkey").alias("product_id"), *more
     )
-    ids = category_bits(goods) if masks else None
-    return roll_up_items(items, goods, categories, TERMS, ids, extra)
 
 
-def purchases_with_baskets(t: Source) -> DataFrame:
-    stores = t.supplier.select(
+def baskets(t: Source, extra: Mapping[str, Column] | None = None, masks: bool = True) -> DataFrame:
+    ids = category_bits(products(t)) if masks else None
+    lines = items(t, *(("l_suppkey",) if extra else ()))
+    return roll_up_items(lines, products(t), categories(t), TERMS, ids, extra)
+
+
+def stores(t: Source) -> DataFrame:
+    return t.supplier.select(
         F.col("s_suppkey").alias("store_id"), F.col("s_nationkey").alias("address_id")
     )
-    addresses = t.nation.select(
-        F.col("n_nationkey").alias("address_id"), F.col("n_name").alias("city")
-    )
-    return purchase_rows(
-        purchases(t), baskets(t, {"store_id": F.min("l_suppkey")}), stores, addresses
-    )
+
+
+def addresses(t: Source) -> DataFrame:
+    return t.nation.select(F.col("n_nationkey").alias("address_id"), F.col("n_name").alias("city"))
+
+
+def purchases_with_baskets(t: Source) -> DataFrame:
+    baskets_and_store = baskets(t, {"store_id": F.min("l_suppkey")})
+    return purchase_rows(purchases(t), baskets_and_store, stores(t), addresses(t))
 
 
 # The SQL counterpart works at item grain with distinct counts, join by join.
