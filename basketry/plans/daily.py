@@ -17,7 +17,7 @@ from basketry.plans.features import feature_matrix
 from basketry.schemas import ENTITIES, ENTITY_ID, FACT_DAYS, RAW_DAYS, VERSION
 from basketry.sources.documents import read_entity
 from basketry.sources.envelopes import read_envelopes, split_valid, to_envelope, write_envelopes
-from basketry.sources.exports import write_csv_single
+from basketry.sources.exports import export_csv
 from basketry.sources.tables import MONTH, write_raw, write_table
 
 FACTS = ("fact_purchases", "fact_purchase_items")
@@ -105,8 +105,10 @@ def run_daily(
     as_of: datetime | None = None,
     items: str = "all",
     compat: bool = False,
+    single_csv_up_to: int = 1_000_000,
 ) -> DataFrame:
-    """The whole run in order; gives the feature matrix, also exported as one CSV file."""
+    """The whole run in order; gives the feature matrix, also exported as CSV (one file up to
+    ``single_csv_up_to`` customers)."""
     as_of = as_of or run_time
     envelopes = f"{out}/envelopes/{run_time:%Y%m%dT%H%M%S}"
     publish(spark, documents, envelopes, run_time)
@@ -118,7 +120,7 @@ def run_daily(
     matrix_path = f"{out}/marts/feature_matrix"
     feature_matrix(marts, as_of, compat=compat).write.mode("overwrite").parquet(matrix_path)
     matrix = spark.read.parquet(matrix_path)
-    write_csv_single(matrix, f"{out}/exports", as_of)
+    export_csv(matrix, f"{out}/exports", as_of, single_csv_up_to)
     return matrix
 
 

@@ -25,9 +25,10 @@ def to_envelope(docs: DataFrame, topic: str, event_time: Moment) -> DataFrame:
 
 
 def write_envelopes(envelopes: DataFrame, path: str, mode: str = "append") -> None:
-    """JSON lines; the folder an envelope stream reads from."""
+    """JSON lines, a folder per topic, so that a reader of one topic opens no other files."""
     iso = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    envelopes.withColumn("event_time", iso).write.mode(mode).json(path)
+    stamped = envelopes.withColumn("event_time", iso)
+    stamped.write.mode(mode).partitionBy("topic").json(path)
 
 
 def read_envelopes(

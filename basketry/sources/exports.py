@@ -18,8 +18,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 def write_csv_single(df: DataFrame, folder: str, stamp: datetime) -> str:
     """One time-stamped CSV file with a header, replacing a file of that name.
 
-    Only the write runs as a single task; the plan before it stays parallel. For large results
-    use ``write_csv``.
+    Only the write runs as a single task; the plan before it stays parallel.
     """
     spark = df.sparkSession
     staging, target = f"{folder}/_staging", f"{folder}/{stamp.strftime(FILE_NAME)}"
@@ -27,7 +26,17 @@ def write_csv_single(df: DataFrame, folder: str, stamp: datetime) -> str:
     hadoop = spark._jvm.org.apache.hadoop.fs
     fs = hadoop.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     part = fs.globStatus(hadoop.Path(f"{staging}/part-*.csv"))[0].getPath()
-    fs.delete(hadoop.Path(target), False)
+    fs.delete(hadoop.Path(target), True)
     fs.rename(part, hadoop.Path(target))
     fs.delete(hadoop.Path(staging), True)
     return target
+
+
+def export_csv(stored: DataFrame, folder: str, stamp: datetime, single_up_to: int) -> str:
+    """One CSV file while the stored result has few enough rows, beyond that a folder of that
+    name with the parts written in parallel. Counting a stored table only reads file footers."""
+    if stored.count() <= single_up_to:
+        return write_csv_single(stored, folder, stamp)
+    target = f"{folder}/{stamp.strftime(FILE_NAME)}"
+    write_csv(stored, target)
+    return target

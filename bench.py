@@ -28,7 +28,6 @@ HEADLINE = (
     "mask_email",
     "raw_monthly_partitions",
     "mart_dim_products",
-    "mart_fact_purchase_items",
 )
 RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 

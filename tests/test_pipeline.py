@@ -5,7 +5,6 @@ import glob
 import os
 from datetime import datetime, timedelta
 
-import pytest
 from conftest import AS_OF, DOCUMENTS, GOLDEN, needs_documents
 from pyspark.sql import functions as F
 
@@ -14,6 +13,7 @@ from basketry.plans.daily import alerts, build_marts, ingest, publish, read_raw
 from basketry.plans.features import FLAG_NAMES, category_bits, feature_matrix
 from basketry.schemas import ENTITIES, MART_KEYS
 from basketry.sources.documents import load_all, read_entity, read_unreadable
+from basketry.sources.exports import export_csv
 from basketry.sources.tables import list_tables, register_catalog, write_months
 
 pytestmark = needs_documents
@@ -56,6 +56,14 @@ def test_golden_matrix_cell_by_cell(golden_run):
         assert sorted(tuple(r) for r in csv.reader(f))[:-1] == want
 
 
+def test_large_results_are_exported_in_parts(golden_run, tmp_path):
+    matrix = golden_run[1]
+    path = export_csv(matrix.repartition(3), str(tmp_path), AS_OF, single_up_to=10)
+    parts = glob.glob(f"{path}/part-*.csv")
+    assert len(parts) == 3
+    assert matrix.sparkSession.read.option("header", True).csv(path).count() == 45
+
+
 def test_corrected_sums(full_run):
     sums = full_run[1].agg(*(F.sum(n).alias(n) for n in FLAG_NAMES)).first().asDict()
     want = {
