@@ -66,6 +66,19 @@ def _newest(df: DataFrame, table: str) -> DataFrame:
     return latest_by_key(df, MART_KEYS[table])
 
 
+def places(customers: DataFrame, stores: DataFrame, purchases: DataFrame) -> DataFrame:
+    """The distinct places these rows are going to look up among the addresses."""
+    named = (
+        (customers, "purchase_location"),
+        (customers, "delivery_address"),
+        (stores, "location"),
+        (purchases, "delivery_address"),
+    )
+    return union_sources(
+        *(df.select(*(c.alias(n) for n, c in _place(prefix).items())) for df, prefix in named)
+    ).distinct()
+
+
 def addresses(customers: DataFrame, stores: DataFrame) -> DataFrame:
     """Customers' delivery places (at the point they shop) and stores' places."""
 

@@ -20,6 +20,7 @@ from basketry.operators.dedup import latest_by_key
 from basketry.operators.flatten import flatten
 from basketry.operators.retention import retain
 from basketry.plans.daily import FACTS, STEPS
+from basketry.plans.marts import places as mart_places
 from basketry.schemas import ENTITIES, FACT_DAYS, MART_KEYS, VERSION
 from basketry.sources.envelopes import split_valid
 from basketry.sources.tables import write_table
@@ -27,9 +28,18 @@ from basketry.sources.tables import write_table
 BATCH = "batch_id"
 
 
-def read_mart(spark: SparkSession, base: str, table: str) -> DataFrame:
-    """Current rows of a mart table: the newest per key over all batches."""
+def read_mart(
+    spark: SparkSession, base: str, table: str, within: DataFrame | None = None
+) -> DataFrame:
+    """Current rows of a mart table: the newest per key over all batches.
+
+    ``within`` holds values for some of the key columns; only those keys are read on, which
+    leaves little to shuffle where it is small enough to be broadcast.
+    """
     log = spark.read.parquet(f"{base}/{table}").drop(BATCH)
+    if within is not None:
+        same = [log[c].eqNullSafe(within[c]) for c in within.columns]
+        log = log.join(within, same, "left_semi")
     return latest_by_key(log, MART_KEYS[table])
 
 
@@ -57,32 +67,40 @@ def build_batch(base: str, items: str = "all") -> Callable[[DataFrame, int], Non
 
     def build(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        kept: list[DataFrame] = []
+
+        def keep(df: DataFrame) -> DataFrame:
+            kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+            return kept[-1]
+
         try:
-            raw = {}
+            sent, raw = keep(batch), {}
             for entity in ENTITIES:
-                good, bad = split_valid(batch.filter(F.col("topic") == entity), entity)
-                raw[entity] = flatten(good, entity, keep_json=False)
+                good, bad = split_valid(sent.filter(F.col("topic") == entity), entity)
+                raw[entity] = keep(flatten(good, entity, keep_json=False))
                 folder = f"{base}/quarantine/topic={entity}/{BATCH}={batch_id}"
                 bad.write.mode("overwrite").parquet(folder)
-            current = _Current(spark, base)
+            # Addresses grow with the customers, so they are looked up by the batch's places.
+            places = keep(mart_places(raw["customers"], raw["stores"], raw["purchases"]))
+            current = _Current(spark, base, {"addresses": places})
             for name, step in STEPS:
                 rows = step(raw, current, items)
                 rows.write.mode("overwrite").parquet(f"{base}/{name}/{BATCH}={batch_id}")
         finally:
-            batch.unpersist()
+            for df in kept:
+                df.unpersist()
 
     return build
 
 
 class _Current(Mapping):
-    """Mart tables as they stand when looked up."""
+    """Mart tables as they stand when looked up, some only within given keys."""
 
-    def __init__(self, spark: SparkSession, base: str):
-        self._spark, self._base = spark, base
+    def __init__(self, spark: SparkSession, base: str, within: Mapping[str, DataFrame]):
+        self._spark, self._base, self._within = spark, base, within
 
     def __getitem__(self, table: str) -> DataFrame:
-        return read_mart(self._spark, self._base, table)
+        return read_mart(self._spark, self._base, table, self._within.get(table))
 
     def __iter__(self):
         return iter(MART_KEYS)
