@@ -235,13 +235,26 @@ def roll_up_items(
 
 
 def item_facts(
-    purchases: DataFrame, items: DataFrame, products: DataFrame, categories: DataFrame
+    purchases: DataFrame,
+    items: DataFrame,
+    products: DataFrame,
+    categories: DataFrame,
+    empty: bool = True,
 ) -> DataFrame:
-    """Purchases with their items, each with its product and category; item grain."""
+    """Purchases with their items, each with its product and category; item grain.
+
+    ``empty`` keeps purchases without items. They are added to an inner join, not kept by an
+    outer one: AQE can split a purchase with very many items only in the former.
+    """
     goods = products.join(
         categories.select("category_id", "category_name"), "category_id", "left"
     )
-    return purchases.join(items, "purchase_id", "left").join(goods, "product_id", "left")
+    facts = purchases.join(items, "purchase_id")
+    if empty:
+        filled = items.select("purchase_id").distinct()
+        bare = purchases.join(filled, "purchase_id", "left_anti")
+        facts = facts.unionByName(bare, allowMissingColumns=True)
+    return facts.join(goods, "product_id", "left")
 
 
 def with_basket(purchases: DataFrame, baskets: DataFrame) -> DataFrame:
@@ -289,6 +302,7 @@ def _varied_from_pairs(marts: Mapping[str, DataFrame]) -> DataFrame:
         marts["fact_purchase_items"].select("purchase_id", "product_id"),
         marts["dim_products"].select("product_id", "category_id"),
         marts["categories"],
+        empty=False,
     )
     pairs = facts.select("customer_id", "category_id").dropna().distinct()
     return pairs.groupBy("customer_id").agg(

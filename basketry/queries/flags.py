@@ -161,8 +161,8 @@ def feat_loyal(t: Source) -> DataFrame:
 _TIMES = ("night_shopper", "morning_shopper", "early_bird", "weekend_shopper", "weekday_shopper")
 
 
-def _visits(t: Source) -> DataFrame:
-    return t.events.select(
+def _visits(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("user_id").alias("customer_id"),
         F.col("event_id").alias("purchase_id"),
         F.col("ts").alias("purchase_datetime"),
@@ -196,13 +196,7 @@ _VISITS = """
     ),
 )
 def feat_hour_flags(t: Source) -> DataFrame:
-    visits = _visits(t).join(
-        t.events.filter(F.col("event_type") == "purchase").select(
-            F.col("event_id").alias("purchase_id")
-        ),
-        "purchase_id",
-        "left_semi",
-    )
+    visits = _visits(t.events.filter(F.col("event_type") == "purchase"))
     flags = customer_flags(visits, matrix.scope(t), _TIMES[:3])
     return _all_customers(t, flags, _TIMES[:3])
 
@@ -219,7 +213,7 @@ def feat_hour_flags(t: Source) -> DataFrame:
     """,
 )
 def feat_weekday_share(t: Source) -> DataFrame:
-    flags = customer_flags(_visits(t), matrix.scope(t), _TIMES[3:])
+    flags = customer_flags(_visits(t.events), matrix.scope(t), _TIMES[3:])
     return _all_customers(t, flags, _TIMES[3:])
 
 
@@ -251,7 +245,9 @@ def feat_new_customer(t: Source) -> DataFrame:
     """,
 )
 def feat_distinct_counts(t: Source) -> DataFrame:
-    joined = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    # Repeated pairs go before the join: the outer side of one cannot be split when skewed.
+    pairs = t.lineitem.select("l_orderkey", "l_suppkey").distinct()
+    joined = t.orders.join(pairs, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     return joined.groupBy(F.col("o_custkey").alias("customer_id")).agg(
         n_distinct(F.col("l_suppkey")).alias("n_stores"),
         as_flag(n_distinct(F.col("l_suppkey")) >= 20).alias("many_stores"),
@@ -270,14 +266,16 @@ def feat_distinct_counts(t: Source) -> DataFrame:
     """,
 )
 def feat_distinct_conditional(t: Source) -> DataFrame:
-    promo = (F.col("p_type") == "PROMO") & (
-        F.col("o_orderdate") >= days_before(matrix.as_of(t), 900)
-    )
-    joined = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"), "left").join(
-        t.part, F.col("l_partkey") == F.col("p_partkey"), "left"
+    # One row per purchase before the join, whatever its number of lines.
+    promo = (
+        t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"), "left")
+        .groupBy("l_orderkey")
+        .agg(ever(F.col("p_type") == "PROMO").alias("promo"))
     )
+    recent = F.col("o_orderdate") >= days_before(matrix.as_of(t), 900)
+    joined = t.orders.join(promo, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     return joined.groupBy(F.col("o_custkey").alias("customer_id")).agg(
-        n_distinct_where(promo, F.col("o_orderkey")).alias("promo_purchases")
+        n_distinct_where(F.col("promo") & recent, F.col("o_orderkey")).alias("promo_purchases")
     )
 
 
