@@ -24,5 +24,9 @@ def drop_blank(labels: Column) -> Column:
 
 
 def unnest(df: DataFrame, array: str | Column, alias: str) -> DataFrame:
-    """One row per array element; rows with an empty or missing array vanish."""
+    """One row per array element; rows with an empty or missing array vanish.
+
+    Pass a computed array as the expression itself: exploding a column computed before lets
+    Catalyst infer a filter on it, which computes it again.
+    """
     return df.withColumn(alias, F.explode(array))

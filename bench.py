@@ -29,7 +29,7 @@ HEADLINE = (
     "raw_monthly_partitions",
     "mart_dim_products",
 )
-RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 
 def timed(spark, run, folder: str) -> float:
