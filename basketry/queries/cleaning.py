@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -263,7 +261,7 @@ def plausibility_filter(t: Source) -> DataFrame:
     """,
 )
 def date_parts(t: Source) -> DataFrame:
-    ts, as_of = F.col("ts"), F.lit(datetime(2024, 1, 30, 12)).cast("timestamp_ntz")
+    ts, as_of = F.col("ts"), F.lit("2024-01-30 12:00:00").cast("timestamp_ntz")
     return t.events.select(
         "event_id",
         F.hour(ts).alias("hour"),
