@@ -12,6 +12,7 @@ from basketry.llm import (
     language_id,
     line_dedup,
     line_quality,
+    pii_spans,
     preference,
     quality_classifier,
     source_mix,
@@ -35,6 +36,10 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return line_quality.report(table(spark, folder, "documents"))
 
 
+def op4_pii_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return pii_spans.report(table(spark, folder, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -60,7 +65,7 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_substring_dedup, op3_quality_rules, op5_decontamination, op6_language_id, op7_preference, op8_quality_classifier, op9_source_mix, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_substring_dedup, op3_quality_rules, op4_pii_spans, op5_decontamination, op6_language_id, op7_preference, op8_quality_classifier, op9_source_mix, op10_jaccard_join)}
 
 
 def oracles() -> dict[str, str]:
