@@ -33,7 +33,7 @@ from basketry.llm.textual import ALPHANUMERIC, grouped, lists, lowered, slices,
 
 WINDOW = 13
 BLOCK_WORDS = 500_000  # words of test items in one broadcast block, about 30 MB as windows
-SEGMENT = 4 << 20
+SEGMENT = 2 << 20
 
 
 def index_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

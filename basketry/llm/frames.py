@@ -24,19 +24,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """A stored frame of narrow rows, to be broadcast if it counts so few rows."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def text_key(text: str = "text") -> Column:
     """64 bits of the text; with the document id it tells rows apart that share an id."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
-def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    """Null-safe equality on the named columns."""
-    on = left[names[0]].eqNullSafe(right[names[0]])
-    for name in names[1:]:
-        on = on & left[name].eqNullSafe(right[name])
-    return on
-
-
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, SMALL)
 

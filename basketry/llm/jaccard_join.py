@@ -32,15 +32,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.frames import stored, text_key
+from basketry.llm.frames import small, stored, text_key
 from basketry.llm.textual import Texts, grouped, lists, lowered, mixed, ranges, slices, texts_of, windows, words
 
 SHINGLE = 3
 PERCENT = 90
 ORDER_SIZE = 1 << 18  # n-grams in the broadcast order: 4 MB
 LOCAL_REPEATS = 3
+COUNT_SLICE = 3 << 20  # bytes of text in which an n-gram must repeat to be counted
 BINS = 32
 BLOCK = 500  # partners verified against one node by one task
+BROADCAST_ROWS = 1_000_000  # rows of three numbers, 24 MB; more are joined by sorting
 
 
 def shingles(texts: Texts, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -69,7 +71,7 @@ def frequent(docs: DataFrame, k: int, size: int) -> tuple[np.ndarray, np.ndarray
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, texts in slices(texts_of(batch.column(0))):
+            for _, _, texts in slices(texts_of(batch.column(0)), COUNT_SLICE):
                 _, h, _ = shingles(texts, k)
                 h.sort()
                 first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.empty(0, np.int64)
@@ -174,8 +176,9 @@ class Join:
     def grams(self) -> DataFrame:
         """A row for each prefix n-gram held by two or more nodes: ``gram, node, n, pos, first, size``."""
         each = self.nodes.select("node", "n", F.posexplode("prefix").alias("pos", "gram"))
-        held = each.groupBy("gram").agg(F.count("*").alias("size"), F.min(F.struct("n", "node", "pos")).alias("first")).filter("size > 1")
-        return stored(each.join(held, "gram"), "grams")
+        held = each.groupBy("gram").agg(F.count("*").alias("size")).filter("size > 1")
+        grams = stored(each.join(held, "gram"), "grams")
+        return grams.join(grams.groupBy("gram").agg(F.min(F.struct("n", "node", "pos")).alias("first")), "gram")
 
     def close(self, pairs: DataFrame) -> DataFrame:
         """Distinct candidate pairs ``a, b`` that pass the suffix filter."""
@@ -188,8 +191,9 @@ class Join:
     def sets(self, wanted: DataFrame) -> DataFrame:
         """``node, grams`` of the wanted nodes, from the text of one of their rows."""
         of = self.nodes.join(wanted, "node").select("node", F.col("least_id").alias("w_id"), F.col("text_hash").alias("w_hash"))
+        of = small(stored(of, "wanted"), BROADCAST_ROWS)
         text = self.docs.select("doc_id", text_key().alias("text_hash"), F.col("text").cast("binary").alias("text"))
-        found = text.join(of, text["doc_id"].eqNullSafe(of["w_id"]) & (text["text_hash"] == of["w_hash"])).select("node", "text")
+        found = text.join(of, text["doc_id"].eqNullSafe(of["w_id"]) & (text["text_hash"] == of["w_hash"])).select("node", "text").dropDuplicates(["node"])
         k = self.k
 
         def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,7 +204,7 @@ class Join:
                     grams = [h[at[x] : at[x + 1]].tobytes() for x in range(j - i)]
                     yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(grams, pa.binary())], ["node", "grams"])
 
-        return found.mapInArrow(build, "node long, grams binary").dropDuplicates(["node"])
+        return found.mapInArrow(build, "node long, grams binary")
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The pairs that are links. Partners of a node are verified in salted blocks."""

@@ -17,14 +17,12 @@ result; an empty table gives an empty result. Only ``doc_id`` and ``text`` are r
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.frames import SPACE_CHARS, ascii_lower, parallelism, same, stored, text_key, with_text
+from basketry.llm.frames import SPACE_CHARS, ascii_lower, parallelism, stored, text_key, with_text
 from basketry.llm.textual import mixed
 
 MIN_CHARS = 20

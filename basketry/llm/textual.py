@@ -13,7 +13,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-SLICE = 3 << 20  # bytes of text handled at once
+SLICE = 1 << 20  # bytes of text handled at once
 
 SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 NOT_SPACE = ~SPACES
