@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.frames import stored, text_key
+from basketry.llm.frames import bounded_batches, stored, text_key
 from basketry.llm.textual import ALPHANUMERIC, grouped, lists, lowered, slices, texts_of, words
 
 WINDOW = 13
@@ -57,6 +57,7 @@ def index_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def build_index(docs: DataFrame) -> DataFrame:
     """The stored index: a row for each segment."""
+    bounded_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     key = F.struct("doc_id", text_key().alias("text_hash"))
     rows = docs.select(key.alias("key"), F.col("text").cast("binary").alias("text")).mapInArrow(

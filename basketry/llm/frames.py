@@ -17,6 +17,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Hand texts to Python in Arrow batches of so many rows: fewer bytes at once on either side."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The frame, written to the shared scratch folder and read again: lineage ends there."""
     path = scratch_dir(df.sparkSession, label)

@@ -32,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.frames import small, stored, text_key
+from basketry.llm.frames import bounded_batches, small, stored, text_key
 from basketry.llm.textual import Texts, grouped, lists, lowered, mixed, ranges, slices, texts_of, windows, words
 
 SHINGLE = 3
 PERCENT = 90
 ORDER_SIZE = 1 << 18  # n-grams in the broadcast order: 4 MB
 LOCAL_REPEATS = 3
-COUNT_SLICE = 3 << 20  # bytes of text in which an n-gram must repeat to be counted
+COUNT_SLICE = 2 << 20  # bytes of text in which an n-gram must repeat to be counted
 BINS = 32
 BLOCK = 500  # partners verified against one node by one task
 BROADCAST_ROWS = 1_000_000  # rows of three numbers, 24 MB; more are joined by sorting
@@ -166,6 +166,7 @@ class Join:
     """The steps of one run; each step's table is written once and read by the later ones."""
 
     def __init__(self, docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, order_size: int = ORDER_SIZE):
+        bounded_batches(docs.sparkSession)
         self.docs, self.k, self.percent = docs, k, percent
         self.rows = stored(signatures(docs, k, percent, frequent(docs, k, order_size)), "signatures")
         one = F.min_by(F.struct("text_hash", "prefix", "bins"), F.struct("doc_id", "text_hash"))

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.llm.frames import bounded_batches
 from basketry.llm.textual import Texts, mixed, slices, texts_of
 
 BUCKETS = 1 << 16
@@ -87,6 +88,7 @@ def gram_counts(train: DataFrame) -> DataFrame:
 
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """The languages and the log-probability of each bucket in each."""
+    bounded_batches(docs.sparkSession)
     rows = docs.filter(~held_out(docs) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = gram_counts(rows.select(F.lower("text").cast("binary").alias("text"), F.col("lang").cast("string").alias("lang")))
     found = counts.limit(BUCKETS * MOST_LANGS + 1).toPandas()

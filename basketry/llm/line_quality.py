@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.frames import stored, text_key, with_text
+from basketry.llm.frames import bounded_batches, stored, text_key, with_text
 from basketry.llm.textual import NOT_SPACE, Texts, grouped, hashes, lists, lowered, mixed, ranges, slices, spans, sums_by_text, texts_of, windows, words
 
 SHARE = 0.1
@@ -87,6 +87,7 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def measured(docs: DataFrame) -> DataFrame:
+    bounded_batches(docs.sparkSession)
     kinds = [f"{c} {docs.schema[c].dataType.simpleString()}" for c in ("doc_id", "source")]
     rows = docs.select("doc_id", "source", text_key().alias("text_hash"), F.col("text").cast("binary").alias("text"))
     return rows.mapInArrow(

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.frames import stored, text_key
+from basketry.llm.frames import bounded_batches, stored, text_key
 from basketry.llm.textual import LOWER, Texts, mixed, slices, texts_of, words
 
 BUCKETS = 1 << 18
@@ -110,6 +110,7 @@ def learner(common) -> Callable[[pd.DataFrame], pd.DataFrame]:
 
 def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = stored(training_rows(docs, labels), "training")
     total, weights = rows.count(), np.zeros(BUCKETS + 1)
     for _ in range(rounds):
