@@ -81,7 +81,12 @@ def to_money(col: Column, strict: bool = False) -> Column:
 
     ``strict`` fails the job on unparseable text instead of giving NULL.
     """
-    text = F.regexp_replace(clean_trim(col), r"(\.\d\d)\d+\z", "$1")
+    trimmed = clean_trim(col)
+    text = F.regexp_replace(trimmed, r"(\.\d\d)\d+\z", "$1")
+    # Amounts with an exponent have their digits at another place: cut by value instead.
+    wide = trimmed.try_cast("decimal(38,18)")
+    cut = F.when(wide >= 0, F.floor(wide, F.lit(2))).otherwise(F.ceil(wide, F.lit(2))).cast("string")
+    text = F.when(trimmed.rlike(r"^[+-]?\d*\.?\d+[eE][+-]?\d+\z") & cut.isNotNull(), cut).otherwise(text)
     return text.cast(MONEY) if strict else text.try_cast(MONEY)
 
 

@@ -8,17 +8,26 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry.functions.dates import moment, month_key
+from basketry.operators.dedup import upsert_latest
 from basketry.operators.flatten import flatten
 from basketry.operators.masking import mask_topic
 from basketry.operators.quality import duplicate_alerts, duplicate_report
 from basketry.operators.retention import retain
 from basketry.plans import marts as build
 from basketry.plans.features import feature_matrix
-from basketry.schemas import ENTITIES, ENTITY_ID, FACT_DAYS, RAW_DAYS, VERSION
+from basketry.schemas import ENTITIES, ENTITY_ID, FACT_DAYS, MART_KEYS, RAW_DAYS, VERSION
 from basketry.sources.documents import read_entity
 from basketry.sources.envelopes import read_envelopes, split_valid, to_envelope, write_envelopes
 from basketry.sources.exports import export_csv
-from basketry.sources.tables import MONTH, write_raw, write_table
+from basketry.sources.tables import (
+    MONTH,
+    RUN,
+    replace_table,
+    table_exists,
+    write_run,
+    write_table,
+)
 
 FACTS = ("fact_purchases", "fact_purchase_items")
 
@@ -53,18 +62,28 @@ STEPS: tuple[tuple[str, Callable[[Tables, Tables, str], DataFrame]], ...] = (
 
 
 def publish(spark: SparkSession, documents: str, envelopes: str, run_time: datetime) -> None:
-    """Mask every entity's documents and append them as envelopes of one run."""
+    """Mask every entity's documents and write them as the envelopes of one run.
+
+    ``envelopes`` is the folder of the run; publishing it again replaces them.
+    """
     for entity in ENTITIES:
         docs = mask_topic(read_entity(spark, f"{documents}/{entity}", entity), entity)
-        write_envelopes(to_envelope(docs, entity, run_time), envelopes)
+        write_envelopes(to_envelope(docs, entity, run_time), envelopes, "overwrite")
 
 
 def ingest(spark: SparkSession, envelopes: str, out: str, run_time: datetime) -> None:
-    """Append all envelopes to the RAW tables, unusable ones to the quarantine table."""
+    """Add a run's envelopes to the RAW tables, unusable ones to the quarantine table.
+
+    Both keep the rows of a run apart, so a retry replaces what the first attempt left.
+    """
+    run = f"{run_time:%Y%m%dT%H%M%S}"
     for entity in ENTITIES:
         good, bad = split_valid(read_envelopes(spark, envelopes, [entity], run_time), entity)
-        write_raw(flatten(good, entity), f"{out}/raw/{entity}")
-        bad.withColumn("topic", F.lit(entity)).write.mode("append").parquet(f"{out}/quarantine")
+        write_run(flatten(good, entity), f"{out}/raw/{entity}", run)
+        kept = bad.drop("topic").withColumn("topic", F.lit(entity)).withColumn(RUN, F.lit(run))
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            RUN, "topic"
+        ).parquet(f"{out}/quarantine")
 
 
 def read_raw(spark: SparkSession, out: str, as_of: datetime) -> dict[str, DataFrame]:
@@ -72,7 +91,16 @@ def read_raw(spark: SparkSession, out: str, as_of: datetime) -> dict[str, DataFr
     return {
         entity: retain(
             spark.read.parquet(f"{out}/raw/{entity}"), VERSION, RAW_DAYS, as_of, MONTH
-        ).drop(MONTH)
+        ).drop(MONTH, RUN)
+        for entity in ENTITIES
+    }
+
+
+def read_raw_day(spark: SparkSession, out: str, day: datetime) -> dict[str, DataFrame]:
+    """The month of a day in the RAW tables; other months' files are not opened."""
+    month = F.col(MONTH).cast("string") == month_key(moment(day))
+    return {
+        entity: spark.read.parquet(f"{out}/raw/{entity}").filter(month).drop(MONTH, RUN)
         for entity in ENTITIES
     }
 
@@ -80,18 +108,24 @@ def read_raw(spark: SparkSession, out: str, as_of: datetime) -> dict[str, DataFr
 def build_marts(
     spark: SparkSession, raw: Tables, out: str, as_of: datetime, items: str = "all"
 ) -> dict[str, DataFrame]:
-    """Write every mart table and give them as stored.
+    """Merge RAW into every mart table and give them as stored.
 
-    Later steps read the stored tables, so lineage is short and Catalyst joins by known sizes.
+    The newest row per key of the stored table and of RAW stays, so what RAW no longer holds is
+    kept: dimensions for good, facts for their own retention. The merged table is written beside
+    the stored one and then takes its place; running it again changes nothing. Later steps read
+    the stored tables, so lineage is short and Catalyst joins by known sizes.
     """
     stored: dict[str, DataFrame] = {}
     for name, step in STEPS:
-        table, path = step(raw, stored, items), f"{out}/marts/{name}"
+        path, following = f"{out}/marts/{name}", f"{out}/marts/_next_{name}"
+        before = spark.read.parquet(path).drop(MONTH) if table_exists(spark, path) else None
+        table = upsert_latest(before, step(raw, stored, items), MART_KEYS[name])
         if name in FACTS:
             kept = retain(table, VERSION, FACT_DAYS, as_of)
-            write_table(kept, path, sort=("purchase_id",), month_of="purchase_datetime")
+            write_table(kept, following, sort=("purchase_id",), month_of="purchase_datetime")
         else:
-            write_table(table, path)
+            write_table(table, following)
+        replace_table(spark, following, path)
         stored[name] = spark.read.parquet(path)
     build.rejects(raw, items).write.mode("overwrite").parquet(f"{out}/rejects")
     return stored
@@ -105,22 +139,23 @@ def run_daily(
     as_of: datetime | None = None,
     items: str = "all",
     compat: bool = False,
-    single_csv_up_to: int = 1_000_000,
+    single_csv: bool = False,
 ) -> DataFrame:
-    """The whole run in order; gives the feature matrix, also exported as CSV (one file up to
-    ``single_csv_up_to`` customers)."""
+    """The whole run in order; gives the feature matrix, also exported as CSV (as one file only
+    if ``single_csv`` asks for it)."""
     as_of = as_of or run_time
     envelopes = f"{out}/envelopes/{run_time:%Y%m%dT%H%M%S}"
     publish(spark, documents, envelopes, run_time)
     ingest(spark, envelopes, out, run_time)
     raw = read_raw(spark, out, as_of)
     marts = build_marts(spark, raw, out, as_of, items)
-    report = duplicate_report({e: (raw[e], ENTITY_ID[e]) for e in ENTITIES}, run_time)
+    today = read_raw_day(spark, out, run_time)
+    report = duplicate_report({e: (today[e], ENTITY_ID[e]) for e in ENTITIES}, run_time)
     report.write.mode("append").parquet(f"{out}/marts/duplicate_analysis_results")
     matrix_path = f"{out}/marts/feature_matrix"
     feature_matrix(marts, as_of, compat=compat).write.mode("overwrite").parquet(matrix_path)
     matrix = spark.read.parquet(matrix_path)
-    export_csv(matrix, f"{out}/exports", as_of, single_csv_up_to)
+    export_csv(matrix, f"{out}/exports", as_of, single_csv)
     return matrix
 
 

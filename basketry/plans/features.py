@@ -12,7 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.aggregates import (
@@ -127,6 +127,8 @@ def _without_meat(s: Scope) -> Column:
 
 
 NEW_CUSTOMER = "new_customer"
+LOYAL, FRUIT = "loyal_customer", "fruit_lover"
+FIRST_OF = "_first_of_purchase"
 VARIED = "varied_shopper"
 VARIED_FROM = 4
 NEW_DAYS = 30
@@ -152,7 +154,7 @@ FLAGS: tuple[Flag, ...] = (
     Flag("bulk_buyer", lambda s: mean(F.col("total_amount")) > s.terms.bulk_over),
     Flag("low_cost_buyer", lambda s: mean(F.col("total_amount")) < s.terms.low_cost_under),
     Flag("buys_bakery", lambda s: ever(F.col("has_bakery"))),
-    Flag("loyal_customer", lambda s: F.count("purchase_id") >= 3, member=True),
+    Flag(LOYAL, lambda s: count_where(F.col(FIRST_OF)) >= 3, member=True),
     Flag("multicity_buyer", lambda s: several(F.col("city_no"))),
     Flag("bought_meat_last_week", lambda s: ever(F.col("has_meat") & s.since(7))),
     Flag("night_shopper", lambda s: ever(F.hour(s.time) > 20)),
@@ -172,7 +174,7 @@ FLAGS: tuple[Flag, ...] = (
         "recent_high_spender",
         lambda s: sum_where(s.since(7), F.col("total_amount")) > s.terms.week_spend_over,
     ),
-    Flag("fruit_lover", lambda s: count_where(F.col("has_fruit") & s.since(30)) >= 3),
+    Flag(FRUIT, lambda s: count_where(F.col(FIRST_OF) & F.col("has_fruit") & s.since(30)) >= 3),
     Flag("vegetarian_profile", _without_meat, without=1),
 )
 FLAG_NAMES = tuple(f.name for f in FLAGS)
@@ -286,6 +288,13 @@ def purchase_rows(
 def customer_flags(rows: DataFrame, scope: Scope, names: Sequence[str] = FLAG_NAMES) -> DataFrame:
     """The roll-up to the customer: one boolean per flag, NULL where nothing is known."""
     wanted = [f for f in FLAGS if f.name in names]
+    if LOYAL in names or FRUIT in names:
+        # These two count purchases, and a purchase has a row for each time it was stated with.
+        # Its row with recent fruit comes first, if any. Rows lie by purchase already.
+        fruit = [(F.col("has_fruit") & scope.since(30)).desc_nulls_last()] if FRUIT in names else []
+        once = Window.partitionBy("customer_id", "purchase_id").orderBy(*fruit, "purchase_id")
+        known = F.col("purchase_id").isNotNull()
+        rows = rows.withColumn(FIRST_OF, (F.row_number().over(once) == 1) & known)
     aggregates = [f.rule(scope).alias(f.name) for f in wanted if f.rule]
     words = [c for c in rows.columns if c.startswith("mask_")]
     if VARIED in names and words:

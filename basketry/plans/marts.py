@@ -248,17 +248,18 @@ def dim_products(
     )
 
 
-def dim_stores(
-    stores: DataFrame, networks: DataFrame, managers: DataFrame, addresses: DataFrame
-) -> DataFrame:
-    texts = (
-        "store_id", "store_name", "store_type_description", "type", "opening_hours_mon_fri",
-        "opening_hours_sat", "opening_hours_sun",
-    )
-    flags = ("accepts_online_orders", "delivery_available", "warehouse_connected")
-    typed = stores.select(
-        *(clean_text(F.col(c)).alias(c) for c in texts),
-        *(to_bool(F.col(c)).alias(c) for c in flags),
+_STORE_TEXTS = (
+    "store_id", "store_name", "store_type_description", "type", "opening_hours_mon_fri",
+    "opening_hours_sat", "opening_hours_sun",
+)
+_STORE_FLAGS = ("accepts_online_orders", "delivery_available", "warehouse_connected")
+
+
+def typed_stores(stores: DataFrame) -> DataFrame:
+    """Stores typed, with manager, network and address parts still attached."""
+    return stores.select(
+        *(clean_text(F.col(c)).alias(c) for c in _STORE_TEXTS),
+        *(to_bool(F.col(c)).alias(c) for c in _STORE_FLAGS),
         to_date_or_null(F.col("last_inventory_date")).alias("last_inventory_date"),
         clean_text(F.col("store_network")).alias("network"),
         clean_text(F.col("manager_name")).alias("manager_name"),
@@ -270,7 +271,12 @@ def dim_stores(
         to_double(F.col("location_coordinates_longitude")).alias("longitude"),
         VERSION,
     )
-    valid, _ = split_valid_rows(typed, REQUIRED_STORE)
+
+
+def dim_stores(
+    stores: DataFrame, networks: DataFrame, managers: DataFrame, addresses: DataFrame
+) -> DataFrame:
+    valid, _ = split_valid_rows(typed_stores(stores), REQUIRED_STORE)
     rows = _newest(valid, "dim_stores")
     networked = lookup(
         rows,
@@ -294,7 +300,8 @@ def dim_stores(
     )
     return placed.select(
         "store_id", "store_name", "store_network_id", "store_type_description", "type",
-        "manager_id", "address_id", *texts[4:], *flags, "last_inventory_date", VERSION,
+        "manager_id", "address_id", *_STORE_TEXTS[4:], *_STORE_FLAGS, "last_inventory_date",
+        VERSION,
     )
 
 
@@ -380,15 +387,23 @@ def rejects(raw: Mapping[str, DataFrame], items: str = "all") -> DataFrame:
     """Rows no dimension or fact table takes, with the required columns that could not be read."""
     sources = (
         ("customers", "customer_id", typed_customers(raw["customers"]), REQUIRED_CUSTOMER),
+        ("stores", "store_id", typed_stores(raw["stores"]), REQUIRED_STORE),
         ("products", "product_id", typed_products(raw["products"]), REQUIRED_PRODUCT),
         ("purchases", "purchase_id", typed_purchases(raw["purchases"]), REQUIRED_PURCHASE),
         ("items", "purchase_id", typed_items(raw["purchases"], items), REQUIRED_ITEM),
     )
+    known, _ = split_valid_rows(typed_customers(raw["customers"]), REQUIRED_CUSTOMER)
+    plausible = F.to_date("registration_date") > F.col("birth_date")
+    odd = known.filter(~F.coalesce(plausible, F.lit(False))).select(
+        F.lit("customers").alias("source"), F.col("customer_id").alias("row_id"),
+        F.lit("implausible dates").alias("reason"), VERSION,
+    )
     return union_sources(
+        odd,
         *(
             split_valid_rows(df, required)[1].select(
                 F.lit(name).alias("source"), F.col(key).alias("row_id"), "reason", VERSION
             )
             for name, key, df, required in sources
-        )
+        ),
     )

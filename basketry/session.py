@@ -39,7 +39,8 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         base = tempfile.mkdtemp(prefix="basketry-")
         spark.conf.set("spark.checkpoint.dir", base)

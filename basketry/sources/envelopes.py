@@ -25,10 +25,15 @@ def to_envelope(docs: DataFrame, topic: str, event_time: Moment) -> DataFrame:
 
 
 def write_envelopes(envelopes: DataFrame, path: str, mode: str = "append") -> None:
-    """JSON lines, a folder per topic, so that a reader of one topic opens no other files."""
+    """JSON lines, a folder per topic, so that a reader of one topic opens no other files.
+
+    Mode ``overwrite`` replaces the topics that the envelopes have.
+    """
     iso = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     stamped = envelopes.withColumn("event_time", iso)
-    stamped.write.mode(mode).partitionBy("topic").json(path)
+    stamped.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(
+        "topic"
+    ).json(path)
 
 
 def read_envelopes(

@@ -32,10 +32,10 @@ def write_csv_single(df: DataFrame, folder: str, stamp: datetime) -> str:
     return target
 
 
-def export_csv(stored: DataFrame, folder: str, stamp: datetime, single_up_to: int) -> str:
-    """One CSV file while the stored result has few enough rows, beyond that a folder of that
-    name with the parts written in parallel. Counting a stored table only reads file footers."""
-    if stored.count() <= single_up_to:
+def export_csv(stored: DataFrame, folder: str, stamp: datetime, single: bool = False) -> str:
+    """A folder with the parts written in parallel, at any size. ``single`` asks for one file
+    instead, written by one task: for results known to be small."""
+    if single:
         return write_csv_single(stored, folder, stamp)
     target = f"{folder}/{stamp.strftime(FILE_NAME)}"
     write_csv(stored, target)

@@ -10,18 +10,28 @@ from pyspark.sql import functions as F
 from basketry.functions.dates import month_key
 
 MONTH = "ym"
+RUN = "run"
 
 
 def write_raw(df: DataFrame, path: str, mode: str = "append", ts: str = "event_time") -> None:
     """RAW table, one folder per month, rows of a file ordered by time.
 
-    Rows of one run share a month, so they are not gathered by month: each task writes its own
-    files.
+    The rebalance hint brings a month's rows together yet splits large months, so a backfill over
+    many months does not leave a file of each task in each month.
     """
-    monthly = df.withColumn(MONTH, month_key(F.col(ts)))
+    monthly = df.withColumn(MONTH, month_key(F.col(ts))).hint("rebalance", F.col(MONTH))
     monthly.sortWithinPartitions(MONTH, ts).write.mode(mode).partitionBy(MONTH).parquet(path)
 
 
+def write_run(df: DataFrame, path: str, run: str, ts: str = "event_time") -> None:
+    """The part of a RAW table that one run brings, by month; repeating the run replaces it."""
+    stamped = df.withColumn(RUN, F.lit(run)).withColumn(MONTH, month_key(F.col(ts)))
+    stamped = stamped.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, ts)
+    stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        RUN, MONTH
+    ).parquet(path)
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -46,6 +56,20 @@ def write_months(df: DataFrame, path: str, month_of: str) -> None:
     ).parquet(path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def replace_table(spark: SparkSession, following: str, path: str) -> None:
+    """Put a completely written table in the place of another."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(hadoop.Path(path), True)
+    if not fs.rename(hadoop.Path(following), hadoop.Path(path)):
+        raise OSError(f"{following} could not be moved to {path}")
+
+
 def list_tables(spark: SparkSession, base: str, exclude: str = "mv_") -> list[str]:
     """Names of the table folders under ``base``, without those starting with ``exclude``."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(base)

@@ -57,7 +57,7 @@ def golden_run(spark, tmp_path_factory):
     from basketry.plans.daily import run_daily
 
     out = str(tmp_path_factory.mktemp("golden"))
-    matrix = run_daily(spark, DOCUMENTS, out, AS_OF, items="first", compat=True)
+    matrix = run_daily(spark, DOCUMENTS, out, AS_OF, items="first", compat=True, single_csv=True)
     return out, matrix
 
 

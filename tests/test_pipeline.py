@@ -56,9 +56,9 @@ def test_golden_matrix_cell_by_cell(golden_run):
         assert sorted(tuple(r) for r in csv.reader(f))[:-1] == want
 
 
-def test_large_results_are_exported_in_parts(golden_run, tmp_path):
+def test_results_are_exported_in_parts(golden_run, tmp_path):
     matrix = golden_run[1]
-    path = export_csv(matrix.repartition(3), str(tmp_path), AS_OF, single_up_to=10)
+    path = export_csv(matrix.repartition(3), str(tmp_path), AS_OF)
     parts = glob.glob(f"{path}/part-*.csv")
     assert len(parts) == 3
     assert matrix.sparkSession.read.option("header", True).csv(path).count() == 45
