@@ -4,8 +4,8 @@ Features are hashes of single words and word pairs, and the same over word shape
 case, digits, signs), with a mark where a word repeats the one before. A text is its feature
 frequencies, scaled to length one. Labelled rows are dealt to shards of bounded size by a hash; in
 each round every shard runs follow-the-regularised-leader from the common weights and the results
-are averaged by Spark, weighted by rows. All labelled training rows take part. The weights have a
-fixed size and are broadcast; scoring is a sparse dot product for each text.
+are averaged by Spark, weighted by rows. At most ``TRAIN_ROWS`` labelled documents take part, those
+with the least hashes of their id; fewer are all used. The weights have a fixed size and are broadcast; scoring is a sparse dot product for each text.
 
 Defined cases: null and empty text has no features and scores the bias; rows without doc_id are
 held out; null labels teach nothing; several labels of a document count as the greater one;
@@ -27,6 +27,7 @@ from basketry.llm.frames import bounded_batches, stored, text_key
 from basketry.llm.textual import LOWER, Texts, mixed, slices, texts_of, words
 
 BUCKETS = 1 << 18
+TRAIN_ROWS = 20_000
 SHARD_ROWS = 2_000
 ROUNDS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 1.0
@@ -89,10 +90,15 @@ def held_out():
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``shard, text_hash, text, label``: shards of about ``SHARD_ROWS`` rows by a hash."""
-    marks = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("label"))
+    """``shard, text_hash, text, label``: shards of about ``SHARD_ROWS`` rows by a hash.
+
+    A row that repeats in full teaches once.
+    """
+    known = labels.select("doc_id", "quality").filter("doc_id IS NOT NULL AND quality IS NOT NULL").filter(~held_out())
+    marks = known.groupBy("doc_id").agg(F.max("quality").alias("label"))
+    marks = stored(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS), "labels")
     shards = max(1, -(-marks.count() // SHARD_ROWS))
-    rows = docs.select("doc_id", "text").filter(~held_out()).join(marks, "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id").withColumn("once", text_key()).dropDuplicates(["doc_id", "once"])
     return rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard"), text_key().alias("text_hash"), F.col("text").cast("binary").alias("text"), F.col("label").cast("int").alias("label"))
 
 
