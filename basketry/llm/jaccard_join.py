@@ -40,7 +40,7 @@ PERCENT = 90
 ORDER_SIZE = 1 << 18  # n-grams in the broadcast order: 4 MB
 LOCAL_REPEATS = 3
 COUNT_SLICE = 2 << 20  # bytes of text in which an n-gram must repeat to be counted
-BINS = 32
+BINS = 64
 BLOCK = 500  # partners verified against one node by one task
 BROADCAST_ROWS = 1_000_000  # rows of three numbers, 24 MB; more are joined by sorting
 
@@ -110,7 +110,7 @@ def signatures(docs: DataFrame, k: int, percent: int, order: tuple[np.ndarray, n
                 np.cumsum(mixed(h), out=total[0, 1:])
                 np.cumsum(mixed(h * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1)), out=total[1, 1:])
                 sig, check = (mixed((t[at[1:]] - t[at[:-1]]) + n.astype(np.uint64)).view(np.int64) for t in total)
-                bins = np.bincount(of * BINS + (h >> np.uint64(59)).astype(np.int64), minlength=len(n) * BINS).astype(np.int32)
+                bins = np.bincount(of * BINS + (h >> np.uint64(58)).astype(np.int64), minlength=len(n) * BINS).astype(np.int32)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": batch.column(0).slice(i, j - i), "text_hash": batch.column(1).slice(i, j - i), "n": pa.array(n.astype(np.int64)),
@@ -128,7 +128,7 @@ def linked(overlap: Column, a: Column, b: Column, percent: int) -> Column:
     return 100 * overlap >= percent * (a + b - overlap)
 
 
-def suffix_filter(a: DataFrame | Column, b: Column, na: Column, nb: Column, percent: int) -> Column:
+def suffix_filter(a: Column, b: Column, na: Column, nb: Column, percent: int) -> Column:
     """Whether the symmetric difference, at least the distance of the histograms, is small enough.
 
     A link needs an overlap of ``percent * (na + nb) / (100 + percent)`` at least.
@@ -242,12 +242,15 @@ class Join:
         named = grams.filter("size > 2").drop("first").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         per = named.groupBy("gram", "comp").agg(F.count("*").alias("members"))
         whole = per.groupBy("gram").agg(F.count("*").alias("kinds"), F.max(F.struct("members", "comp")).alias("most")).filter("kinds > 1")
-        open_ = stored(named.join(whole.select("gram", F.col("most.comp").alias("main")), "gram"), "open-groups")
-        x = open_.filter("comp <> main").select("gram", *(F.col(c).alias(f"x_{c}") for c in ("node", "n", "pos", "comp")))
-        y = open_.select("gram", *(F.col(c).alias(f"y_{c}") for c in ("node", "n", "pos", "comp")), (F.col("comp") == F.col("main")).alias("y_main"))
+        open_ = named.join(whole.select("gram", F.col("most.comp").alias("main")), "gram")
+        open_ = stored(open_.join(self.nodes.select("node", "bins"), "node"), "open-groups")
+        parts = ("node", "n", "pos", "comp", "bins")
+        x = open_.filter("comp <> main").select("gram", *(F.col(c).alias(f"x_{c}") for c in parts))
+        y = open_.select("gram", *(F.col(c).alias(f"y_{c}") for c in parts), (F.col("comp") == F.col("main")).alias("y_main"))
         cross = x.join(y, "gram").filter(
             (F.col("x_comp") != F.col("y_comp")) & (F.col("y_main") | (F.col("x_node") < F.col("y_node")))
             & positional(F.col("x_n"), F.col("y_n"), F.col("x_pos"), F.col("y_pos"), self.percent)
+            & suffix_filter(F.col("x_bins"), F.col("y_bins"), F.col("x_n"), F.col("y_n"), self.percent)
         )
         more = self.close(cross.select(F.col("x_node").alias("a"), F.col("y_node").alias("b"))).join(tried, ["a", "b"], "left_anti")
         found_more = stored(self.verify(stored(more, "more-candidates")), "links")
