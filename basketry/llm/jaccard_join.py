@@ -9,9 +9,13 @@
    filters; the suffix filter bounds the symmetric difference by the histograms. Sets of the
    remaining nodes are computed from the texts and each pair is intersected once.
 4. A prefix n-gram that many near copies share would give all pairs of them. Instead each node is
-   first paired with the group's first node only. Links give components; afterwards, only nodes
-   outside the largest component of their group are paired with the group's nodes of other
-   components. Pairs inside a component cannot change it, so every component is exact.
+   first paired with the group's first node only. Links give components. In rounds, nodes outside
+   the largest component of a large group then meet ``PIVOTS`` members drawn by hash, other ones
+   each round, as long as a round ties a quarter of them to it. Afterwards those still outside are
+   paired with all of the group's nodes of other components. Pairs inside a component cannot
+   change it, so every component is exact; the rounds only leave fewer pairs to the last step.
+   There a pair that shares several n-grams is formed at the first of them (all but a few repeats
+   are seen by the ``BEFORE`` n-grams that a node carries along).
 
 Groups are never gathered: per-group facts are pre-aggregated, joins on hot n-grams are split by
 adaptive execution, and a node with many partners is verified in salted blocks.
@@ -29,7 +33,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.llm.frames import bounded_batches, small, stored, text_key
@@ -41,6 +45,8 @@ ORDER_SIZE = 1 << 18  # n-grams in the broadcast order: 4 MB
 LOCAL_REPEATS = 3
 COUNT_SLICE = 2 << 20  # bytes of text in which an n-gram must repeat to be counted
 BINS = 64
+PIVOTS = 32  # members that nodes of a larger group meet in a round
+BEFORE = 8  # earlier n-grams of open groups by which a repeated pair is told
 BLOCK = 500  # partners verified against one node by one task
 BROADCAST_ROWS = 1_000_000  # rows of three numbers, 24 MB; more are joined by sorting
 
@@ -228,6 +234,49 @@ class Join:
 
         return due.join(sets, "node").groupBy("a", "salt").applyInPandas(intersect, "a long, b long")
 
+    def open_groups(self, grams: DataFrame, comps: DataFrame) -> tuple[DataFrame, int]:
+        """Members of groups of several components, and how many lie outside the largest in large groups.
+
+        Groups of two have no further pair than that with their first node.
+        """
+        named = grams.filter("size > 2").drop("first").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        per = named.groupBy("gram", "comp").agg(F.count("*").alias("members"))
+        whole = per.groupBy("gram").agg(F.count("*").alias("kinds"), F.max(F.struct("members", "comp")).alias("most")).filter("kinds > 1")
+        members = named.join(whole.select("gram", F.col("most.comp").alias("main")), "gram")
+        members = stored(members.join(self.nodes.select("node", "bins"), "node"), "open-groups")
+        return members, members.filter((F.col("size") > PIVOTS) & (F.col("comp") != F.col("main"))).count()
+
+    def pivot_pairs(self, members: DataFrame, turn: int) -> DataFrame:
+        """Candidate pairs ``a, b`` of nodes outside the largest component and a few members of their group."""
+        large = members.filter(F.col("size") > PIVOTS).withColumn("draw", F.xxhash64("node", F.lit(turn)))
+        slots = large.groupBy("gram", F.pmod("draw", F.lit(PIVOTS)).alias("slot")).agg(F.min(F.struct("draw", "node", "n", "pos", "comp", "bins")).alias("one"))
+        pivots = slots.groupBy("gram").agg(F.collect_list("one").alias("pivots"))
+
+        def near(p: Column) -> Column:
+            return (
+                (p["comp"] != F.col("comp")) & positional(F.col("n"), p["n"], F.col("pos"), p["pos"], self.percent)
+                & suffix_filter(F.col("bins"), p["bins"], F.col("n"), p["n"], self.percent)
+            )
+
+        met = large.filter("comp <> main").join(pivots, "gram").select("node", F.filter("pivots", near).alias("near"))
+        each = met.select("node", F.explode(F.col("near.node")).alias("pivot"))
+        return each.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+
+    def remaining_pairs(self, members: DataFrame) -> DataFrame:
+        """All candidate pairs ``a, b`` of nodes outside the largest component of their group with other components."""
+        earlier = Window.partitionBy("node").orderBy("pos").rowsBetween(-BEFORE, -1)
+        members = members.withColumn("before", F.collect_list("gram").over(earlier))
+        parts = ("node", "n", "pos", "comp", "bins", "before")
+        x = members.filter("comp <> main").select("gram", *(F.col(c).alias(f"x_{c}") for c in parts))
+        y = members.select("gram", *(F.col(c).alias(f"y_{c}") for c in parts), (F.col("comp") == F.col("main")).alias("y_main"))
+        pairs = x.join(y, "gram").filter(
+            (F.col("x_comp") != F.col("y_comp")) & (F.col("y_main") | (F.col("x_node") < F.col("y_node")))
+            & positional(F.col("x_n"), F.col("y_n"), F.col("x_pos"), F.col("y_pos"), self.percent)
+            & ~F.arrays_overlap("x_before", "y_before")
+            & suffix_filter(F.col("x_bins"), F.col("y_bins"), F.col("x_n"), F.col("y_n"), self.percent)
+        )
+        return pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Verified pairs of nodes, enough to connect every component, and the components."""
         grams = self.grams()
@@ -237,26 +286,22 @@ class Join:
         tried = self.close(star.select(F.col("node").alias("a"), F.col("first.node").alias("b")))
         found = stored(self.verify(tried), "links")
         comps = components(found)
-        # Groups of three or more with several components: nodes outside the largest one of the
-        # group meet the nodes of other components.
-        named = grams.filter("size > 2").drop("first").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        per = named.groupBy("gram", "comp").agg(F.count("*").alias("members"))
-        whole = per.groupBy("gram").agg(F.count("*").alias("kinds"), F.max(F.struct("members", "comp")).alias("most")).filter("kinds > 1")
-        open_ = named.join(whole.select("gram", F.col("most.comp").alias("main")), "gram")
-        open_ = stored(open_.join(self.nodes.select("node", "bins"), "node"), "open-groups")
-        parts = ("node", "n", "pos", "comp", "bins")
-        x = open_.filter("comp <> main").select("gram", *(F.col(c).alias(f"x_{c}") for c in parts))
-        y = open_.select("gram", *(F.col(c).alias(f"y_{c}") for c in parts), (F.col("comp") == F.col("main")).alias("y_main"))
-        cross = x.join(y, "gram").filter(
-            (F.col("x_comp") != F.col("y_comp")) & (F.col("y_main") | (F.col("x_node") < F.col("y_node")))
-            & positional(F.col("x_n"), F.col("y_n"), F.col("x_pos"), F.col("y_pos"), self.percent)
-            & suffix_filter(F.col("x_bins"), F.col("y_bins"), F.col("x_n"), F.col("y_n"), self.percent)
-        )
-        more = self.close(cross.select(F.col("x_node").alias("a"), F.col("y_node").alias("b"))).join(tried, ["a", "b"], "left_anti")
-        found_more = stored(self.verify(stored(more, "more-candidates")), "links")
-        if found_more.isEmpty():
+        members, outside = self.open_groups(grams, comps)
+        turn, before = 0, 2 * outside
+        while 0 < outside <= 0.75 * before:
+            turn, before = turn + 1, outside
+            pairs = stored(self.pivot_pairs(members, turn).join(tried, ["a", "b"], "left_anti"), "pivot-candidates")
+            new = stored(self.verify(pairs), "links")
+            if new.isEmpty():
+                break
+            tried, found = tried.unionByName(pairs), found.unionByName(new)
+            comps = components(found)
+            members, outside = self.open_groups(grams, comps)
+        rest = stored(self.remaining_pairs(members).join(tried, ["a", "b"], "left_anti"), "more-candidates")
+        new = stored(self.verify(rest), "links")
+        if new.isEmpty():
             return found, comps
-        every = found.unionByName(found_more)
+        every = found.unionByName(new)
         return every, components(every)
 
     def classes(self) -> DataFrame:
