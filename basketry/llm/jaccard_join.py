@@ -200,7 +200,7 @@ class Join:
         of = self.nodes.join(wanted, "node").select("node", F.col("least_id").alias("w_id"), F.col("text_hash").alias("w_hash"))
         of = small(stored(of, "wanted"), BROADCAST_ROWS)
         text = self.docs.select("doc_id", text_key().alias("text_hash"), F.col("text").cast("binary").alias("text"))
-        found = text.join(of, text["doc_id"].eqNullSafe(of["w_id"]) & (text["text_hash"] == of["w_hash"])).select("node", "text").dropDuplicates(["node"])
+        found = text.join(of, text["doc_id"].eqNullSafe(of["w_id"]) & (text["text_hash"] == of["w_hash"])).select("node", "text")
         k = self.k
 
         def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +211,8 @@ class Join:
                     grams = [h[at[x] : at[x + 1]].tobytes() for x in range(j - i)]
                     yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(grams, pa.binary())], ["node", "grams"])
 
-        return found.mapInArrow(build, "node long, grams binary")
+        # Repeated rows go after the sets are built: this exchange also serves the join on the node.
+        return found.mapInArrow(build, "node long, grams binary").dropDuplicates(["node"])
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The pairs that are links. Partners of a node are verified in salted blocks."""
@@ -242,13 +243,12 @@ class Join:
         named = grams.filter("size > 2").drop("first").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         per = named.groupBy("gram", "comp").agg(F.count("*").alias("members"))
         whole = per.groupBy("gram").agg(F.count("*").alias("kinds"), F.max(F.struct("members", "comp")).alias("most")).filter("kinds > 1")
-        members = named.join(whole.select("gram", F.col("most.comp").alias("main")), "gram")
-        members = stored(members.join(self.nodes.select("node", "bins"), "node"), "open-groups")
+        members = stored(named.join(whole.select("gram", F.col("most.comp").alias("main")), "gram"), "open-groups")
         return members, members.filter((F.col("size") > PIVOTS) & (F.col("comp") != F.col("main"))).count()
 
     def pivot_pairs(self, members: DataFrame, turn: int) -> DataFrame:
         """Candidate pairs ``a, b`` of nodes outside the largest component and a few members of their group."""
-        large = members.filter(F.col("size") > PIVOTS).withColumn("draw", F.xxhash64("node", F.lit(turn)))
+        large = members.filter(F.col("size") > PIVOTS).join(self.nodes.select("node", "bins"), "node").withColumn("draw", F.xxhash64("node", F.lit(turn)))
         slots = large.groupBy("gram", F.pmod("draw", F.lit(PIVOTS)).alias("slot")).agg(F.min(F.struct("draw", "node", "n", "pos", "comp", "bins")).alias("one"))
         pivots = slots.groupBy("gram").agg(F.collect_list("one").alias("pivots"))
 
@@ -265,7 +265,7 @@ class Join:
     def remaining_pairs(self, members: DataFrame) -> DataFrame:
         """All candidate pairs ``a, b`` of nodes outside the largest component of their group with other components."""
         earlier = Window.partitionBy("node").orderBy("pos").rowsBetween(-BEFORE, -1)
-        members = members.withColumn("before", F.collect_list("gram").over(earlier))
+        members = members.withColumn("before", F.collect_list("gram").over(earlier)).join(self.nodes.select("node", "bins"), "node")
         parts = ("node", "n", "pos", "comp", "bins", "before")
         x = members.filter("comp <> main").select("gram", *(F.col(c).alias(f"x_{c}") for c in parts))
         y = members.select("gram", *(F.col(c).alias(f"y_{c}") for c in parts), (F.col("comp") == F.col("main")).alias("y_main"))
