@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import Row
 
 from basketry.llm import (
     decontamination,
@@ -301,6 +302,23 @@ def test_jaccard_join_of_chains_and_near_copies(spark):
     same_rows([tuple(r) for r in jaccard_join.report(frame, percent=80, order_size=16).collect()], expected)
 
 
+def test_jaccard_join_of_a_large_group_whose_first_member_is_an_outlier(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PIVOTS", 4)
+    monkeypatch.setattr(jaccard_join, "BEFORE", 1)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 5)
+    random = np.random.default_rng(5)
+    docs = [(0, " ".join(f"w{j}" for j in range(60)))]
+    for i in range(1, 60):
+        text = [f"w{j}" for j in range(80)]
+        for j in random.integers(0, 80, int(random.integers(0, 3))):
+            text[j] = f"x{i}"
+        docs.append((i, " ".join(text)))
+    found = jaccard_join.report(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    expected = components([Row(doc_id=i, text=t) for i, t in docs], 3, 90)
+    same_rows([tuple(r) for r in found], expected)
+    assert 1 < len({r["component_id"] for r in found}) < 60
+
+
 def test_empty_tables(spark, nothing):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     bench = spark.createDataFrame([], "item_id long, text string")
