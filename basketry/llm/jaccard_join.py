@@ -14,8 +14,9 @@
    each round, as long as a round ties a quarter of them to it. Afterwards those still outside are
    paired with all of the group's nodes of other components. Pairs inside a component cannot
    change it, so every component is exact; the rounds only leave fewer pairs to the last step.
-   There a pair that shares several n-grams is formed at the first of them (all but a few repeats
-   are seen by the ``BEFORE`` n-grams that a node carries along).
+   There a pair that shares several n-grams of large groups is formed at the first of them (all but
+   a few repeats are seen by the ``BEFORE`` n-grams that a node carries along); groups of at most
+   ``PIVOTS`` nodes are one row each, and only the pairs that pass the filters leave it.
 
 Groups are never gathered: per-group facts are pre-aggregated, joins on hot n-grams are split by
 adaptive execution, and a node with many partners is verified in salted blocks.
@@ -215,7 +216,13 @@ class Join:
         return found.mapInArrow(build, "node long, grams binary").dropDuplicates(["node"])
 
     def verify(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that are links. Partners of a node are verified in salted blocks."""
+        """The pairs that are links. Partners of a node are verified in salted blocks.
+
+        Of a pair the node with more pairs is the head of the block: its set is sent once for all.
+        """
+        degree = pairs.select(F.explode(F.array("a", "b")).alias("of")).groupBy("of").agg(F.count("*").alias("degree"))
+        x, y = (degree.select(F.col("of").alias(c), F.struct("degree", "of").alias(f"of_{c}")) for c in "ab")
+        pairs = pairs.join(x, "a").join(y, "b").select(F.greatest("of_a", "of_b")["of"].alias("a"), F.least("of_a", "of_b")["of"].alias("b"))
         sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("salts"))
         blocks = pairs.join(sizes, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"))
         heads = sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("a").alias("node"), F.lit(True).alias("head"))
@@ -262,9 +269,26 @@ class Join:
         each = met.select("node", F.explode(F.col("near.node")).alias("pivot"))
         return each.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
+    def small_group_pairs(self, members: DataFrame) -> DataFrame:
+        """Candidate pairs ``a, b`` of different components within groups of at most ``PIVOTS`` nodes.
+
+        Such a group is one row, so that only pairs that pass the filters are looked up histograms for.
+        """
+        groups = members.filter(F.col("size") <= PIVOTS).groupBy("gram").agg(F.collect_list(F.struct("node", "n", "pos", "comp")).alias("all"))
+        each = groups.select("all", F.explode("all").alias("x"))
+        x = F.col("x")
+
+        def near(y: Column) -> Column:
+            return (x["comp"] != y["comp"]) & (x["node"] < y["node"]) & positional(x["n"], y["n"], x["pos"], y["pos"], self.percent)
+
+        met = each.select(x["node"].alias("a"), F.filter("all", near).alias("near"))
+        return self.close(met.select("a", F.explode(F.col("near.node")).alias("b")))
+
     def remaining_pairs(self, members: DataFrame) -> DataFrame:
         """All candidate pairs ``a, b`` of nodes outside the largest component of their group with other components."""
+        few = self.small_group_pairs(members)
         earlier = Window.partitionBy("node").orderBy("pos").rowsBetween(-BEFORE, -1)
+        members = members.filter(F.col("size") > PIVOTS)
         members = members.withColumn("before", F.collect_list("gram").over(earlier)).join(self.nodes.select("node", "bins"), "node")
         parts = ("node", "n", "pos", "comp", "bins", "before")
         x = members.filter("comp <> main").select("gram", *(F.col(c).alias(f"x_{c}") for c in parts))
@@ -275,7 +299,8 @@ class Join:
             & ~F.arrays_overlap("x_before", "y_before")
             & suffix_filter(F.col("x_bins"), F.col("y_bins"), F.col("x_n"), F.col("y_n"), self.percent)
         )
-        return pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+        many = pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"))
+        return many.unionByName(few).distinct()
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Verified pairs of nodes, enough to connect every component, and the components."""
