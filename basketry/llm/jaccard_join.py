@@ -10,8 +10,8 @@
    remaining nodes are computed from the texts and each pair is intersected once.
 4. A prefix n-gram that many near copies share would give all pairs of them. Instead each node is
    first paired with the group's first node only. Links give components. In rounds, nodes outside
-   the largest component of a large group then meet ``PIVOTS`` members drawn by hash, other ones
-   each round, as long as a round ties a quarter of them to it. Afterwards those still outside are
+   the largest component of a large group then meet some of ``PIVOTS`` members drawn by hash, other
+   ones each round, as long as a round ties a quarter of them to it. Afterwards those still outside are
    paired with all of the group's nodes of other components. Pairs inside a component cannot
    change it, so every component is exact; the rounds only leave fewer pairs to the last step.
    There a pair that shares several n-grams of large groups is formed at the first of them (all but
@@ -47,6 +47,7 @@ LOCAL_REPEATS = 3
 COUNT_SLICE = 2 << 20  # bytes of text in which an n-gram must repeat to be counted
 BINS = 64
 PIVOTS = 32  # members that nodes of a larger group meet in a round
+TRIES = 2  # of these, the nearest by histogram and as many by hash that a node is verified against
 BEFORE = 8  # earlier n-grams of open groups by which a repeated pair is told
 BLOCK = 500  # partners verified against one node by one task
 BROADCAST_ROWS = 1_000_000  # rows of three numbers, 24 MB; more are joined by sorting
@@ -135,13 +136,17 @@ def linked(overlap: Column, a: Column, b: Column, percent: int) -> Column:
     return 100 * overlap >= percent * (a + b - overlap)
 
 
+def distance(a: Column, b: Column) -> Column:
+    """Distance of two histograms: at most the symmetric difference of the sets."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
+
+
 def suffix_filter(a: Column, b: Column, na: Column, nb: Column, percent: int) -> Column:
     """Whether the symmetric difference, at least the distance of the histograms, is small enough.
 
     A link needs an overlap of ``percent * (na + nb) / (100 + percent)`` at least.
     """
-    distance = F.aggregate(F.zip_with(a, b, lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    return (100 + percent) * (na + nb - distance) >= 2 * percent * (na + nb)
+    return (100 + percent) * (na + nb - distance(a, b)) >= 2 * percent * (na + nb)
 
 
 def positional(na: Column, nb: Column, i: Column, j: Column, percent: int) -> Column:
@@ -254,7 +259,11 @@ class Join:
         return members, members.filter((F.col("size") > PIVOTS) & (F.col("comp") != F.col("main"))).count()
 
     def pivot_pairs(self, members: DataFrame, turn: int) -> DataFrame:
-        """Candidate pairs ``a, b`` of nodes outside the largest component and a few members of their group."""
+        """Candidate pairs ``a, b`` of nodes outside the largest component and a few members of their group.
+
+        Of the members that pass the filters a node meets the nearest and a few drawn by hash, which
+        tie groups of even nearer copies together; what they leave apart is left to later steps.
+        """
         large = members.filter(F.col("size") > PIVOTS).join(self.nodes.select("node", "bins"), "node").withColumn("draw", F.xxhash64("node", F.lit(turn)))
         slots = large.groupBy("gram", F.pmod("draw", F.lit(PIVOTS)).alias("slot")).agg(F.min(F.struct("draw", "node", "n", "pos", "comp", "bins")).alias("one"))
         pivots = slots.groupBy("gram").agg(F.collect_list("one").alias("pivots"))
@@ -265,8 +274,11 @@ class Join:
                 & suffix_filter(F.col("bins"), p["bins"], F.col("n"), p["n"], self.percent)
             )
 
-        met = large.filter("comp <> main").join(pivots, "gram").select("node", F.filter("pivots", near).alias("near"))
-        each = met.select("node", F.explode(F.col("near.node")).alias("pivot"))
+        found = F.transform(F.filter("pivots", near), lambda p: F.struct(distance(F.col("bins"), p["bins"]).alias("far"), p["node"].alias("node")))
+        met = large.filter("comp <> main").join(pivots, "gram").select("node", found.alias("near"))
+        drawn = F.transform("near", lambda p: F.struct(F.xxhash64(p["node"], "node", F.lit(turn)).alias("far"), p["node"].alias("node")))
+        tried = F.concat(*(F.slice(F.array_sort(c)["node"], 1, TRIES) for c in (F.col("near"), drawn)))
+        each = met.select("node", F.explode(F.array_distinct(tried)).alias("pivot"))
         return each.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
     def small_group_pairs(self, members: DataFrame) -> DataFrame:
