@@ -15,9 +15,13 @@ gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.llm.frames import stored
+
 # The marks of the rendered format.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 
@@ -70,10 +74,9 @@ def format_pairs(pairs: DataFrame) -> DataFrame:
 
 
 def swapped_replies(turns: DataFrame) -> DataFrame:
-    """Pairs from plain conversations: a conversation and the same one with another's last reply.
+    """Pairs of conversations that end in a reply and whose id is one below that of another with one.
 
-    Every conversation that ends in an assistant turn is chosen. Its rejected twin ends instead in
-    the last assistant turn of the conversation with the next id, where there is one.
+    Only for dense whole-number ids: conversations without such a neighbour give no pair.
     """
     own = conversations(turns, "conv_id", "chosen_turns").filter(F.element_at("chosen_turns", -1)["role"] == "assistant")
     last = F.max(F.struct("turn", "role", "text"))
@@ -84,8 +87,42 @@ def swapped_replies(turns: DataFrame) -> DataFrame:
     return joined.select(F.col("conv_id").alias("pair_id"), "chosen_turns", F.concat(before, F.array("reply")).alias("rejected_turns"))
 
 
-def report(turns: DataFrame) -> DataFrame:
+def ranked_replies(turns: DataFrame) -> DataFrame:
+    """``conv_id, place, reply``: the last reply of each conversation that has one, ranked by id from 0.
+
+    The ids are sorted over all tasks. A row's place is its number within its task and the rows of
+    the tasks before it; only one count for each task is gathered.
+    """
+    last = F.max(F.struct("turn", "role", "text"))
+    replies = turns.filter("conv_id IS NOT NULL AND role = 'assistant'").groupBy("conv_id").agg(last.alias("last"))
+    # The number of a sorted row: its task in the upper 31 bits, its place there in the lower 33.
+    rows = stored(replies.select("conv_id", F.struct("last.role", "last.text").alias("reply")).orderBy("conv_id").withColumn("row", F.monotonically_increasing_id()), "replies")
+    task = F.shiftright("row", 33)
+    before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = rows.groupBy(task.alias("task")).agg(F.count("*").alias("n")).select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return rows.withColumn("task", task).join(F.broadcast(tasks), "task").select("conv_id", (F.col("before") + F.col("row").bitwiseAND((1 << 33) - 1)).alias("place"), "reply")
+
+
+def following_replies(turns: DataFrame) -> DataFrame:
+    """Pairs from plain conversations: a conversation and the same one with another's last reply.
+
+    Every conversation with an assistant turn is chosen, up to the last such turn. Its rejected twin
+    ends instead in the last reply of the conversation that follows among these by id, the first one
+    after the greatest id. Where no other conversation has a reply, the rejected side is empty.
+    """
+    ranked = ranked_replies(turns)
+    many = ranked.count()
+    given = ranked.select(F.pmod(F.col("place") - 1, F.lit(max(many, 1))).alias("place"), F.col("reply").alias("other"))
+    others = ranked.select("conv_id", "place").join(given, "place").select("conv_id", "other")
+    # Roles are never null in the search: the last assistant turn counted from the end.
+    back = F.array_position(F.reverse(F.transform("turns", lambda x: F.coalesce(x["role"] == "assistant", F.lit(False)))), F.lit(True))
+    own = conversations(turns, "conv_id", "turns").withColumn("n", (F.size("turns") - back + 1).cast("int")).join(others, "conv_id")
+    twin = F.concat(F.slice("turns", 1, F.col("n") - 1), F.array("other"))
+    return own.select(F.col("conv_id").alias("pair_id"), F.slice("turns", 1, F.col("n")).alias("chosen_turns"), F.when(F.lit(many > 1), twin).alias("rejected_turns"))
+
+
+def report(turns: DataFrame, pairs: Callable[[DataFrame], DataFrame] = swapped_replies) -> DataFrame:
     spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["begin"].cast("string"), s["end"].cast("string"))), ",")
-    return format_pairs(swapped_replies(turns)).select(
+    return format_pairs(pairs(turns)).select(
         F.col("pair_id").alias("conv_id"), "n_prompt", "prompt", "chosen", "rejected", spans("chosen_mask").alias("chosen_mask"), spans("rejected_mask").alias("rejected_mask")
     )

@@ -49,7 +49,7 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_preference(spark: SparkSession, folder: str) -> DataFrame:
-    return preference.report(table(spark, folder, "conversations"))
+    return preference.report(table(spark, folder, "conversations"), preference.following_replies)
 
 
 def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
