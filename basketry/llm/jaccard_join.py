@@ -181,9 +181,11 @@ class Join:
         bounded_batches(docs.sparkSession)
         self.docs, self.k, self.percent = docs, k, percent
         self.rows = stored(signatures(docs, k, percent, frequent(docs, k, order_size)), "signatures")
-        one = F.min_by(F.struct("text_hash", "prefix", "bins"), F.struct("doc_id", "text_hash"))
-        nodes = self.rows.filter("n > 0").groupBy("sig", "check", "n").agg(F.min("doc_id").alias("least_id"), one.alias("one"))
-        nodes = nodes.select("sig", "check", "n", "least_id", "one.*").withColumn("node", F.monotonically_increasing_id())
+        # One row names the node and lends its text: that of the least id, one without id only where there is no other.
+        order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+        one = F.min_by(F.struct(F.col("doc_id").alias("least_id"), "text_hash", "prefix", "bins"), order)
+        nodes = self.rows.filter("n > 0").groupBy("sig", "check", "n").agg(one.alias("one"))
+        nodes = nodes.select("sig", "check", "n", "one.*").withColumn("node", F.monotonically_increasing_id())
         self.nodes = stored(nodes, "nodes")
 
     def grams(self) -> DataFrame:
