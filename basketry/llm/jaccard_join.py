@@ -17,6 +17,8 @@
    There a pair that shares several n-grams of large groups is formed at the first of them (all but
    a few repeats are seen by the ``BEFORE`` n-grams that a node carries along); groups of at most
    ``PIVOTS`` nodes are one row each, and only the pairs that pass the filters leave it.
+5. The number of links of each row needs every pair: ``all_links`` forms the pairs of all nodes as the
+   last step does, at their first shared n-gram, and verifies each. Near copies then cost their square.
 
 Groups are never gathered: per-group facts are pre-aggregated, joins on hot n-grams are split by
 adaptive execution, and a node with many partners is verified in salted blocks.
@@ -184,15 +186,19 @@ class Join:
         # One row names the node and lends its text: that of the least id, one without id only where there is no other.
         order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
         one = F.min_by(F.struct(F.col("doc_id").alias("least_id"), "text_hash", "prefix", "bins"), order)
-        nodes = self.rows.filter("n > 0").groupBy("sig", "check", "n").agg(one.alias("one"))
-        nodes = nodes.select("sig", "check", "n", "one.*").withColumn("node", F.monotonically_increasing_id())
+        nodes = self.rows.filter("n > 0").groupBy("sig", "check", "n").agg(one.alias("one"), F.count("*").alias("copies"))
+        nodes = nodes.select("sig", "check", "n", "copies", "one.*").withColumn("node", F.monotonically_increasing_id())
         self.nodes = stored(nodes, "nodes")
 
-    def grams(self) -> DataFrame:
-        """A row for each prefix n-gram held by two or more nodes: ``gram, node, n, pos, first, size``."""
+    def held(self) -> DataFrame:
+        """A row for each prefix n-gram held by two or more nodes: ``gram, node, n, pos, size``."""
         each = self.nodes.select("node", "n", F.posexplode("prefix").alias("pos", "gram"))
         held = each.groupBy("gram").agg(F.count("*").alias("size")).filter("size > 1")
-        grams = stored(each.join(held, "gram"), "grams")
+        return stored(each.join(held, "gram"), "grams")
+
+    def grams(self) -> DataFrame:
+        """The rows of ``held``, each with the ``first`` node of its n-gram."""
+        grams = self.held()
         return grams.join(grams.groupBy("gram").agg(F.min(F.struct("n", "node", "pos")).alias("first")), "gram")
 
     def close(self, pairs: DataFrame) -> DataFrame:
@@ -343,21 +349,44 @@ class Join:
         every = found.unionByName(new)
         return every, components(every)
 
-    def classes(self) -> DataFrame:
-        """``doc_id, text_hash, n_shingles, component_id`` for each row."""
-        _, comps = self.links()
-        named = self.nodes.select("sig", "check", "n", "least_id", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    def all_links(self) -> DataFrame:
+        """Every link ``a, b`` of two nodes: each pair that passes the filters is verified, once.
+
+        Every node counts as its own component here, so no pair is left out as connected already.
+        """
+        apart = self.held().withColumn("comp", F.col("node")).withColumn("main", F.lit(-1).cast("long"))
+        return stored(self.verify(stored(self.remaining_pairs(apart), "all-candidates")), "all-links")
+
+    def classes(self, counted: bool = False) -> DataFrame:
+        """``doc_id, text_hash, n_shingles, component_id`` for each row.
+
+        ``counted`` verifies every pair and adds ``n_links``, the number of other rows linked with a row.
+        """
+        found = self.all_links() if counted else None
+        comps = components(found) if counted else self.links()[1]
+        named = self.nodes.select("sig", "check", "n", "copies", "least_id", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         least = named.groupBy("comp").agg(F.min("least_id").alias("component_id"))
-        label = named.join(least, "comp").select(F.col("sig").alias("l_sig"), F.col("check").alias("l_check"), F.col("n").alias("l_n"), "component_id")
+        if counted:
+            weights = self.nodes.select(F.col("node").alias("b"), F.col("copies").alias("other"))
+            linked = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(weights, "b").groupBy(F.col("a").alias("node")).agg(F.sum("other").alias("others"))
+            named = named.join(linked, "node", "left").withColumn("l_links", F.col("copies") - 1 + F.coalesce("others", F.lit(0)))
+        more = ["l_links"] if counted else []
+        label = named.join(least, "comp").select(F.col("sig").alias("l_sig"), F.col("check").alias("l_check"), F.col("n").alias("l_n"), "component_id", *more)
         rows = self.rows.select("doc_id", "text_hash", "n", "sig", "check")
         joined = rows.join(label, F.expr("n > 0 AND sig = l_sig AND check = l_check AND n = l_n"), "left")
-        return joined.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        links = [F.coalesce("l_links", F.lit(0)).alias("n_links")] if counted else []
+        return joined.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), component, *links)
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
     return Join(docs, **options).classes().drop("text_hash")
 
 
+def report_links(docs: DataFrame, **options) -> DataFrame:
+    return Join(docs, **options).classes(counted=True).drop("text_hash")
+
+
 def clean(docs: DataFrame, **options) -> DataFrame:
     """One document of each component, the one with the least id; all rows without an id stay."""
     classes = Join(docs, **options).classes()

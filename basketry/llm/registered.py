@@ -64,8 +64,12 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.report(table(spark, folder, "documents"))
 
 
+def op10_jaccard_links(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.report_links(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_substring_dedup, op3_quality_rules, op4_pii_spans, op5_decontamination, op6_language_id, op7_preference, op8_quality_classifier, op9_source_mix, op10_jaccard_join)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_substring_dedup, op3_quality_rules, op4_pii_spans, op5_decontamination, op6_language_id, op7_preference, op8_quality_classifier, op9_source_mix, op10_jaccard_join, op10_jaccard_links)}
 
 
 def oracles() -> dict[str, str]:
@@ -76,4 +80,5 @@ def oracles() -> dict[str, str]:
         "op5_decontamination": sql.contamination("documents"),
         "op9_source_mix": sql.mix_report("documents"),
         "op10_jaccard_join": sql.near_duplicates("documents"),
+        "op10_jaccard_links": sql.near_duplicate_links("documents"),
     }

@@ -138,6 +138,19 @@ def near_duplicates(docs: str) -> str:
     SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.y) AS component_id FROM d JOIN r ON d.doc_id = r.x LEFT JOIN n ON d.doc_id = n.doc_id GROUP BY d.doc_id"""
 
 
+def near_duplicate_links(docs: str) -> str:
+    """The components, and the number of links of each document."""
+    return f"""
+    SELECT c.*, coalesce(k.n_links, 0)::BIGINT AS n_links FROM ({near_duplicates(docs)}) c LEFT JOIN (
+      WITH d AS (SELECT doc_id, {words(lower('text'))} AS w FROM {docs}),
+      g AS (SELECT DISTINCT doc_id, array_to_string(w[pos:pos + 2], ' ') AS gram
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS pos FROM d WHERE len(w) > 0)),
+      n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+      p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL)
+      SELECT x AS doc_id, count(*) AS n_links FROM p JOIN n a ON x = a.doc_id JOIN n b ON y = b.doc_id WHERE 100 * o >= 90 * (a.n + b.n - o) GROUP BY x) k
+    ON c.doc_id = k.doc_id"""
+
+
 def pipeline() -> str:
     """The stages one after another, each over what its predecessor kept."""
     return f"""
