@@ -304,19 +304,29 @@ def customer_flags(rows: DataFrame, scope: Scope, names: Sequence[str] = FLAG_NA
     return rows.groupBy("customer_id").agg(*aggregates)
 
 
-def _varied_from_pairs(marts: Mapping[str, DataFrame]) -> DataFrame:
-    """Distinct categories per customer where the categories are too many for a mask."""
+def with_variety(
+    flags: DataFrame,
+    purchases: DataFrame,
+    items: DataFrame,
+    products: DataFrame,
+    categories: DataFrame,
+) -> DataFrame:
+    """The roll-up with ``varied_shopper``, from distinct (customer, category) pairs.
+
+    Any number of categories will do. The flag is NULL for customers without a known category.
+    """
     facts = item_facts(
-        marts["fact_purchases"].select("purchase_id", "customer_id"),
-        marts["fact_purchase_items"].select("purchase_id", "product_id"),
-        marts["dim_products"].select("product_id", "category_id"),
-        marts["categories"],
+        purchases.select("purchase_id", "customer_id"),
+        items.select("purchase_id", "product_id"),
+        products.select("product_id", "category_id"),
+        categories,
         empty=False,
     )
-    pairs = facts.select("customer_id", "category_id").dropna().distinct()
-    return pairs.groupBy("customer_id").agg(
+    pairs = facts.select("customer_id", "category_id").dropna(subset=["category_id"]).distinct()
+    varied = pairs.groupBy(F.col("customer_id").alias("_of")).agg(
         (F.count(F.lit(1)) >= VARIED_FROM).alias(VARIED)
     )
+    return flags.join(varied, F.col("customer_id").eqNullSafe(F.col("_of")), "left").drop("_of")
 
 
 def assemble(customers: DataFrame, flags: DataFrame, as_of: Column) -> DataFrame:
@@ -368,7 +378,13 @@ def feature_matrix(
     )
     flags = customer_flags(rows, scope)
     if VARIED not in flags.columns:
-        flags = flags.join(_varied_from_pairs(marts), "customer_id", "left")
+        flags = with_variety(
+            flags,
+            marts["fact_purchases"],
+            marts["fact_purchase_items"],
+            marts["dim_products"],
+            marts["categories"],
+        )
     customers = latest_by_key(
         marts["dim_customers"].select(
             *IDENTITY, "registration_date", "is_loyalty_member", VERSION

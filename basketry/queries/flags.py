@@ -42,7 +42,10 @@ def _sql(source: str, *names: str) -> str:
 
 
 def _flagged(rows: DataFrame, scope: Scope, names: Sequence[str]) -> DataFrame:
-    flags = customer_flags(rows, scope, names)
+    return _as_flags(customer_flags(rows, scope, names), names)
+
+
+def _as_flags(flags: DataFrame, names: Sequence[str]) -> DataFrame:
     return flags.select(
         "customer_id", *(F.coalesce(as_flag(F.col(n)), F.lit(0)).alias(n) for n in names)
     )
@@ -53,7 +56,7 @@ _WINDOWED = ("bought_milk_last_30d", "bought_fruits_last_14d", "bought_meat_last
 
 @query("feat_category_window", _sql("it", *_WINDOWED))
 def feat_category_window(t: Source) -> DataFrame:
-    rows = matrix.purchases(t).join(matrix.baskets(t, masks=False), "purchase_id", "left")
+    rows = matrix.purchases(t).join(matrix.baskets(t), "purchase_id", "left")
     return _flagged(rows, matrix.scope(t), _WINDOWED)
 
 
@@ -62,7 +65,7 @@ _EVER = ("organic_preference", "buys_bakery")
 
 @query("feat_ever_flags", _sql("it", *_EVER))
 def feat_ever_flags(t: Source) -> DataFrame:
-    rows = matrix.purchases(t).join(matrix.baskets(t, masks=False), "purchase_id", "left")
+    rows = matrix.purchases(t).join(matrix.baskets(t), "purchase_id", "left")
     return _flagged(rows, matrix.scope(t), _EVER)
 
 
@@ -71,7 +74,7 @@ _NOT_BOUGHT = ("not_bought_veggies_14d", "vegetarian_profile")
 
 @query("feat_not_bought", _sql("it", *_NOT_BOUGHT))
 def feat_not_bought(t: Source) -> DataFrame:
-    rows = matrix.purchases(t).join(matrix.baskets(t, masks=False), "purchase_id", "left")
+    rows = matrix.purchases(t).join(matrix.baskets(t), "purchase_id", "left")
     return _flagged(rows, matrix.scope(t), _NOT_BOUGHT)
 
 
@@ -81,7 +84,7 @@ _VARIED = ("varied_shopper", "fruit_lover")
 @query("feat_category_variety", _sql("it", *_VARIED))
 def feat_category_variety(t: Source) -> DataFrame:
     rows = matrix.purchases(t).join(matrix.baskets(t), "purchase_id", "left")
-    return _flagged(rows, matrix.scope(t), _VARIED)
+    return _as_flags(matrix.varied(t, customer_flags(rows, matrix.scope(t), _VARIED)), _VARIED)
 
 
 _COUNTS = ("recurrent_buyer", "inactive_14_30")

@@ -15,10 +15,10 @@ from basketry.plans.features import (
     Scope,
     Terms,
     assemble,
-    category_bits,
     customer_flags,
     purchase_rows,
     roll_up_items,
+    with_variety,
 )
 from basketry.queries.registry import Source, query
 
@@ -90,10 +90,9 @@ def items(t: Source, *more: str) -> DataFrame:
     )
 
 
-def baskets(t: Source, extra: Mapping[str, Column] | None = None, masks: bool = True) -> DataFrame:
-    ids = category_bits(products(t)) if masks else None
+def baskets(t: Source, extra: Mapping[str, Column] | None = None) -> DataFrame:
     lines = items(t, *(("l_suppkey",) if extra else ()))
-    return roll_up_items(lines, products(t), categories(t), TERMS, ids, extra)
+    return roll_up_items(lines, products(t), categories(t), TERMS, extra=extra)
 
 
 def stores(t: Source) -> DataFrame:
@@ -210,9 +209,15 @@ def _oracle(compat: bool) -> str:
     """
 
 
+def varied(t: Source, flags: DataFrame) -> DataFrame:
+    """The roll-up with the flag that counts distinct categories, for any number of these."""
+    return with_variety(flags, purchases(t), items(t), products(t), categories(t))
+
+
 def _matrix(t: Source, compat: bool) -> DataFrame:
     s = scope(t, compat)
-    return assemble(customers(t), customer_flags(purchases_with_baskets(t), s), s.as_of)
+    flags = varied(t, customer_flags(purchases_with_baskets(t), s))
+    return assemble(customers(t), flags, s.as_of)
 
 
 @query("feature_matrix", _oracle(compat=False))
