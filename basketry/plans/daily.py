@@ -17,8 +17,14 @@ from basketry.operators.retention import retain
 from basketry.plans import marts as build
 from basketry.plans.features import feature_matrix
 from basketry.schemas import ENTITIES, ENTITY_ID, FACT_DAYS, MART_KEYS, RAW_DAYS, VERSION
-from basketry.sources.documents import read_entity
-from basketry.sources.envelopes import read_envelopes, split_valid, to_envelope, write_envelopes
+from basketry.sources.documents import read_entity, read_unreadable
+from basketry.sources.envelopes import (
+    read_envelopes,
+    read_unrouted,
+    split_valid,
+    to_envelope,
+    write_envelopes,
+)
 from basketry.sources.exports import export_csv
 from basketry.sources.tables import (
     MONTH,
@@ -71,20 +77,41 @@ def publish(spark: SparkSession, documents: str, envelopes: str, run_time: datet
         write_envelopes(to_envelope(docs, entity, run_time), envelopes, "overwrite")
 
 
-def ingest(spark: SparkSession, envelopes: str, out: str, run_time: datetime) -> None:
+def ingest(
+    spark: SparkSession,
+    envelopes: str,
+    out: str,
+    run_time: datetime,
+    documents: str | None = None,
+) -> None:
     """Add a run's envelopes to the RAW tables, unusable ones to the quarantine table.
 
-    Both keep the rows of a run apart, so a retry replaces what the first attempt left.
+    Envelopes of no known topic go there as topic ``unrouted``. With the folder of the
+    ``documents`` that were published, those that could not be read go there too. Their raw text
+    is kept as it came, so it is not masked. Both tables keep the rows of a run apart, so a retry
+    replaces what the first attempt left.
     """
     run = f"{run_time:%Y%m%dT%H%M%S}"
-    for entity in ENTITIES:
-        good, bad = split_valid(read_envelopes(spark, envelopes, [entity], run_time), entity)
-        write_run(flatten(good, entity), f"{out}/raw/{entity}", run)
-        kept = bad.drop("topic").withColumn("topic", F.lit(entity)).withColumn(RUN, F.lit(run))
+
+    def quarantine(bad: DataFrame, topic: str) -> None:
+        kept = bad.withColumn("topic", F.lit(topic)).withColumn(RUN, F.lit(run))
         kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             RUN, "topic"
         ).parquet(f"{out}/quarantine")
 
+    for entity in ENTITIES:
+        good, bad = split_valid(read_envelopes(spark, envelopes, [entity], run_time), entity)
+        write_run(flatten(good, entity), f"{out}/raw/{entity}", run)
+        if documents:
+            broken = read_unreadable(spark, f"{documents}/{entity}", entity).select(
+                F.col("text").alias("json_data"),
+                moment(run_time).cast(bad.schema["event_time"].dataType).alias("event_time"),
+                F.concat(F.lit("unreadable document: "), F.col("file")).alias("reason"),
+            )
+            bad = bad.unionByName(broken)
+        quarantine(bad, entity)
+    quarantine(read_unrouted(spark, envelopes, ENTITIES, run_time), "unrouted")
+
 
 def read_raw(spark: SparkSession, out: str, as_of: datetime) -> dict[str, DataFrame]:
     """RAW tables within their retention."""
@@ -146,7 +173,7 @@ def run_daily(
     as_of = as_of or run_time
     envelopes = f"{out}/envelopes/{run_time:%Y%m%dT%H%M%S}"
     publish(spark, documents, envelopes, run_time)
-    ingest(spark, envelopes, out, run_time)
+    ingest(spark, envelopes, out, run_time, documents)
     raw = read_raw(spark, out, as_of)
     marts = build_marts(spark, raw, out, as_of, items)
     today = read_raw_day(spark, out, run_time)

@@ -24,10 +24,13 @@ def _read(spark: SparkSession, path: str, entity: str, multi_line: bool) -> Data
 
 
 def _unreadable(entity: str) -> Column:
-    """Nothing at all could be read. A single odd field only leaves that field NULL."""
-    nothing = reduce(
-        Column.__and__, (F.col(f"`{f.name}`").isNull() for f in document_schema(entity))
-    )
+    """Nothing at all could be read. A single odd field only leaves that field NULL.
+
+    The fields are counted, as null tests would be pushed into the reader, which then skips a
+    broken document for the fields before its fault.
+    """
+    fields = (F.col(f"`{f.name}`").isNotNull().cast("int") for f in document_schema(entity))
+    nothing = reduce(Column.__add__, fields) == 0
     return F.col(CORRUPT).isNotNull() & nothing
 
 

@@ -36,21 +36,19 @@ def write_envelopes(envelopes: DataFrame, path: str, mode: str = "append") -> No
     ).json(path)
 
 
-def read_envelopes(
+def _envelopes(
     spark: SparkSession,
     source: str,
-    topics: Sequence[str] = ENTITIES,
-    run_time: Moment | None = None,
-    streaming: bool = False,
-    brokers: str | None = None,
-    max_files: int | None = None,
+    topics: Sequence[str],
+    run_time: Moment | None,
+    streaming: bool,
+    brokers: str | None,
+    max_files: int | None,
 ) -> DataFrame:
-    """Envelopes of the topics, oldest first: JSON-line files under ``source``, or a broker.
-
-    With ``brokers`` the Kafka source is used (its connector must be on the class path) and
-    ``source`` is ignored.
-    """
+    """All envelopes; one that is not JSON has its raw text as ``json_data``."""
     reader = spark.readStream if streaming else spark.read
+    shape = f"{ENVELOPE}, {CORRUPT} string"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     if brokers:
         records = (
             reader.format("kafka")
@@ -59,17 +57,50 @@ def read_envelopes(
             .option("startingOffsets", "earliest")
             .load()
         )
-        body = F.from_json(F.col("value").cast("string"), ENVELOPE)
-        rows = records.select(
-            "topic", body["json_data"].alias("json_data"), body["event_time"].alias("event_time")
-        )
+        body = F.from_json(F.col("value").cast("string"), shape, options)
+        rows = records.select("topic", *(body[c].alias(c) for c in ("json_data", "event_time", CORRUPT)))
     else:
         if streaming and max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
-        rows = reader.schema(ENVELOPE).json(source)
+        rows = reader.options(**options).schema(shape).json(source)
     now = F.current_timestamp() if run_time is None else run_time
-    return rows.filter(F.col("topic").isin(*topics)).withColumn(
-        "event_time", parse_event_time(F.col("event_time"), now)
+    return rows.select(
+        "topic",
+        F.coalesce("json_data", CORRUPT).alias("json_data"),
+        parse_event_time(F.col("event_time"), now).alias("event_time"),
+    )
+
+
+def read_envelopes(
+    spark: SparkSession,
+    source: str,
+    topics: Sequence[str] = ENTITIES,
+    run_time: Moment | None = None,
+    streaming: bool = False,
+    brokers: str | None = None,
+    max_files: int | None = None,
+) -> DataFrame:
+    """Envelopes of the topics, oldest first: JSON-line files under ``source``, or a broker.
+
+    With ``brokers`` the Kafka source is used (its connector must be on the class path) and
+    ``source`` is ignored. Envelopes of no known topic are given by ``read_unrouted``.
+    """
+    rows = _envelopes(spark, source, topics, run_time, streaming, brokers, max_files)
+    return rows.filter(F.col("topic").isin(*topics))
+
+
+def read_unrouted(
+    spark: SparkSession,
+    source: str,
+    topics: Sequence[str] = ENTITIES,
+    run_time: Moment | None = None,
+) -> DataFrame:
+    """``json_data, event_time, reason`` of the lines under ``source`` with none of the topics."""
+    rows = _envelopes(spark, source, topics, run_time, False, None, None)
+    named = F.concat(F.lit("unknown topic: "), F.col("topic"))
+    reason = F.coalesce(named, F.lit("missing topic"))
+    return rows.filter(~F.coalesce(F.col("topic").isin(*topics), F.lit(False))).select(
+        "json_data", "event_time", reason.alias("reason")
     )
 
 
