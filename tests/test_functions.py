@@ -4,7 +4,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from conftest import values
+from support import values
 from pyspark.sql import functions as F
 
 from basketry.functions import clean as c

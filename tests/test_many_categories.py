@@ -4,7 +4,7 @@ import os
 import shutil
 
 import pytest
-from conftest import TABLES, needs_tables
+from support import TABLES, needs_tables
 from pyspark.sql import functions as F
 
 from basketry.queries import queries

@@ -5,7 +5,7 @@ import glob
 import os
 from datetime import datetime, timedelta
 
-from conftest import AS_OF, DOCUMENTS, GOLDEN, needs_documents
+from support import AS_OF, DOCUMENTS, GOLDEN, needs_documents
 from pyspark.sql import functions as F
 
 from basketry.operators.quality import table_counts

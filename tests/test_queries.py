@@ -5,7 +5,7 @@ import decimal
 import os
 
 import pytest
-from conftest import TABLES, needs_tables
+from support import TABLES, needs_tables
 
 from basketry.queries import oracles, queries
 

@@ -3,7 +3,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import DOCUMENTS, needs_documents
+from support import DOCUMENTS, needs_documents
 
 from basketry.operators.masking import mask_topic
 from basketry.plans.daily import publish
