@@ -10,8 +10,11 @@ from basketry.llm import (
     decontamination,
     jaccard_join,
     language_id,
+    lexical_search,
+    license_scan,
     line_dedup,
     line_quality,
+    periodic_runs,
     pii_spans,
     preference,
     quality_classifier,
@@ -68,8 +71,20 @@ def op10_jaccard_links(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.report_links(table(spark, folder, "documents"))
 
 
+def op11_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.report(table(spark, folder, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.report(table(spark, folder, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_substring_dedup, op3_quality_rules, op4_pii_spans, op5_decontamination, op6_language_id, op7_preference, op8_quality_classifier, op9_source_mix, op10_jaccard_join, op10_jaccard_links)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_substring_dedup, op3_quality_rules, op4_pii_spans, op5_decontamination, op6_language_id, op7_preference, op8_quality_classifier, op9_source_mix, op10_jaccard_join, op10_jaccard_links, op11_license_scan, op12_periodic_runs, op13_lexical_search)}
 
 
 def oracles() -> dict[str, str]:
@@ -81,4 +96,7 @@ def oracles() -> dict[str, str]:
         "op9_source_mix": sql.mix_report("documents"),
         "op10_jaccard_join": sql.near_duplicates("documents"),
         "op10_jaccard_links": sql.near_duplicate_links("documents"),
+        "op11_license_scan": sql.license_report("documents"),
+        "op12_periodic_runs": sql.periodic_report("documents"),
+        "op13_lexical_search": sql.search_report("documents", "benchmark"),
     }

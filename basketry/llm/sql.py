@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from basketry.llm import line_dedup, line_quality
+from basketry.llm import lexical_search, license_rules, line_dedup, line_quality
 
 # White space, upper and lower case as DuckDB writes them.
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -164,3 +164,76 @@ def pipeline() -> str:
     c AS MATERIALIZED (SELECT * FROM ({contamination("s3")})),
     s4 AS MATERIALIZED (SELECT s3.* FROM s3 JOIN c ON s3.doc_id = c.doc_id WHERE NOT c.contaminated)
     SELECT * FROM ({mix_report("s4")})"""
+
+
+def license_report(docs: str) -> str:
+    """Every rule over words that are two spaces apart, each with a space of its own around it."""
+
+    def quoted(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    def spaced(pattern: str) -> str:
+        return " (?:" + pattern.replace(" ?", "\0").replace(" ", "  ").replace("\0", "(  )?") + ") "
+
+    rules = ", ".join(
+        f"({r.number}, {license_rules.LEVELS[r.kind]}, {license_rules.WEIGHTS[r.kind]}::DOUBLE, {quoted(r.label)}, {str(r.base).lower()}, {quoted(f' {r.keyword} ')}, {quoted(spaced(r.pattern))})"
+        for r in license_rules.RULES
+    )
+    n_words = "len(regexp_extract_all({}, '[^ ]+'))".format
+    return f"""
+    WITH d AS (SELECT doc_id, n_words, ' ' || array_to_string(w, '  ') || ' ' AS s
+               FROM (SELECT doc_id, w, len(w) AS n_words FROM (SELECT doc_id, {words(lower('text'), _TOKENS)} AS w FROM {docs}))),
+    r(no, level, weight, label, base, keyword, pattern) AS (VALUES {rules}),
+    m AS (SELECT doc_id, no, level, weight, label, base, regexp_extract_all(s, pattern) AS hits, regexp_split_to_array(s, pattern) AS parts
+          FROM d JOIN r ON contains(s, keyword) WHERE regexp_matches(s, pattern)),
+    e AS (SELECT doc_id, no, level, weight, label, base, {n_words('hits[k]')} AS size,
+                 (list_sum(list_transform(parts[1:k], lambda x: {n_words('x')})) + coalesce(list_sum(list_transform(hits[1:k - 1], lambda x: {n_words('x')})), 0))::BIGINT AS lo
+          FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS k FROM m)),
+    f AS (SELECT e.*, EXISTS (SELECT 1 FROM e o WHERE o.doc_id = e.doc_id AND o.lo <= e.lo AND o.lo + o.size >= e.lo + e.size
+                              AND (o.level < e.level OR o.level = e.level AND (o.size > e.size OR o.size = e.size AND o.no < e.no))) AS lost FROM e)
+    SELECT d.doc_id, n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+           coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+    FROM d LEFT JOIN (
+      SELECT doc_id, count(*) FILTER (base) AS n_base, min(lo) FILTER (base) AS first_word, max(lo) FILTER (base) AS last_word,
+             string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+             string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base OR NOT lost) AS labels, max(weight) FILTER (base OR NOT lost) AS score
+      FROM f GROUP BY doc_id) x ON d.doc_id = x.doc_id"""
+
+
+def periodic_report(docs: str) -> str:
+    """Pairs of equal words up to a quarter of the text apart, gathered to stretches."""
+    crc = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+             lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda c, k: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END))))"""
+    return f"""
+    WITH s AS (SELECT doc_id, w, len(w)::BIGINT AS n, h, h // 10 AS g FROM (SELECT doc_id, {words('text')} AS w, {crc} AS h FROM {docs})),
+    a AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a, CASE WHEN h % 10 = 0 AND n > 0 THEN 1 + (n - g % n) // (3 + g % 8) END AS p FROM s),
+    d AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w FROM a),
+    x AS (SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS i FROM d WHERE n >= 6),
+    y AS (SELECT x.doc_id, z.i - x.i AS q, x.i FROM x JOIN x z ON x.doc_id = z.doc_id AND x.word = z.word AND z.i > x.i AND 4 * (z.i - x.i) <= x.n),
+    t AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM y)
+          GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+    r AS (SELECT doc_id, start, length, min(q) AS period FROM t GROUP BY ALL),
+    c AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM (SELECT doc_id, unnest(w) AS word, unnest(range(n)) AS i FROM d) v
+          WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.doc_id = v.doc_id AND v.i >= r.start + r.period AND v.i < r.start + r.length) GROUP BY doc_id),
+    b AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed,
+                 max(ROW(length, -start, -period)) AS longest FROM r GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, (-longest[2])::BIGINT AS start, longest[1]::BIGINT AS length, (-longest[3])::BIGINT AS period,
+           (1000 * longest[1] // -longest[3])::BIGINT AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+    FROM d LEFT JOIN b ON d.doc_id = b.doc_id LEFT JOIN c ON d.doc_id = c.doc_id"""
+
+
+def search_report(docs: str, items: str) -> str:
+    x = lexical_search
+    term = "'" + x.TERM + "'"
+    return f"""
+    WITH t AS (SELECT doc_id, unnest({words(lower('text'), term)}) AS term FROM {docs}),
+    f AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+    g AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM f GROUP BY doc_id),
+    c AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM g),
+    m AS (SELECT doc_id, {x.FLOOR} + ({x.SLOPE} * n * big_n) // big_l AS m FROM g, c),
+    q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({words(lower('text'), term)}) AS term FROM {items}) GROUP BY ALL),
+    w AS (SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM f, c WHERE term IN (SELECT term FROM q) GROUP BY term, big_n),
+    s AS (SELECT item_id, doc_id, sum(times * w * (({x.SCALE}::BIGINT * tf) // ({x.TF} * tf + {x.NORM} * m)))::BIGINT AS score
+          FROM q JOIN w USING (term) JOIN f USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id)
+    SELECT item_id, rank::INT AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= {x.BEST}"""
