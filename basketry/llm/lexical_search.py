@@ -31,14 +31,14 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.llm.frames import bounded_batches, stored
-from basketry.llm.textual import ALPHANUMERIC, lists, lowered, slices, texts_of, words
+from basketry.llm.textual import ALPHANUMERIC, lists, lowered, slices, spans, texts_of, words
 
 BEST = 20
-PIECE_TERMS = 1 << 18  # terms with repeats of the documents of one piece
+PIECE_TERMS = 1 << 17  # terms with repeats of the documents of one piece
 BLOCK_CHARS = 4 << 20  # text of the queries of one block
 
 # The terms, and the constants of normaliser and impact.
@@ -51,8 +51,28 @@ def impact(tf, m):
     return SCALE * tf // (TF * tf + NORM * m)
 
 
-def n_terms() -> Column:
-    return F.regexp_count(F.coalesce("text", F.lit("")), F.lit(TERM)).cast("long")
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i, j, texts in slices(texts_of(batch.column("text"))):
+            first = spans(texts, ALPHANUMERIC)[2]
+            yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns), pa.array(np.diff(first))], [*batch.schema.names, "n"])
+
+
+def counted(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, n`` of the documents with a term, n terms with repeats."""
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(_counted, f"doc_id {kind}, text binary, n long").filter("n > 0")
+
+
+def sizes(docs: DataFrame) -> DataFrame:
+    """``n, docs``: how many documents have n terms."""
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from (b.select(["n"]) for b in _counted(batches))
+
+    rows = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(measured, "n long")
+    return rows.filter("n > 0").groupBy("n").agg(F.count("*").alias("docs"))
 
 
 def _build(group: pa.Table) -> pa.Table:
@@ -91,10 +111,10 @@ def _build(group: pa.Table) -> pa.Table:
 
 def strata(docs: DataFrame) -> tuple[DataFrame, int]:
     """``n, m, pieces`` for each number of terms, and the number of documents with a term."""
-    sizes = stored(docs.select(n_terms().alias("n")).filter("n > 0").groupBy("n").agg(F.count("*").alias("docs")), "sizes")
-    total = sizes.agg(F.sum("docs").alias("docs"), F.sum(F.col("n") * F.col("docs")).alias("terms")).first()
+    found = stored(sizes(docs), "sizes")
+    total = found.agg(F.sum("docs").alias("docs"), F.sum(F.col("n") * F.col("docs")).alias("terms")).first()
     n_docs, all_terms = total["docs"] or 0, total["terms"] or 1
-    placed = sizes.withColumn("m", F.expr(f"{FLOOR} + ({SLOPE} * n * {n_docs}L) div {all_terms}L"))
+    placed = found.withColumn("m", F.expr(f"{FLOOR} + ({SLOPE} * n * {n_docs}L) div {all_terms}L"))
     pieces = placed.groupBy("m").agg(F.ceil(F.sum(F.col("n") * F.col("docs")) / PIECE_TERMS).alias("pieces"))
     return placed.select("n", "m").join(pieces, "m"), n_docs
 
@@ -103,7 +123,7 @@ def build_index(docs: DataFrame) -> tuple[DataFrame, int]:
     """The stored index, a row for each piece, and the number of documents with a term."""
     bounded_batches(docs.sparkSession)
     placed, n_docs = strata(docs)
-    rows = docs.select("doc_id", "text", n_terms().alias("n")).filter("n > 0").join(placed, "n")
+    rows = counted(docs).join(placed, "n")
     piece = F.pmod(F.xxhash64("doc_id", "text"), F.col("pieces"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     built = rows.select("doc_id", "text", "m", piece.alias("piece")).groupBy("m", "piece").applyInArrow(
