@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 from basketry.functions.masking import mask_email, mask_phone
 from basketry.schemas import SENSITIVE
 
+# Personal data as it stands in text that cannot be parsed.
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+"
+PHONE = r"\+?[0-9][0-9 ()-]{8,}[0-9]"
+
 _MASKS: dict[str, Callable[[Column], Column]] = {"phone": mask_phone, "email": mask_email}
 
 
@@ -32,6 +36,11 @@ def mask_topic(df: DataFrame, topic: str, sensitive: Collection[str] = SENSITIVE
     return mask_nested(df) if topic in sensitive else df
 
 
+def mask_text(col: Column) -> Column:
+    """Text with e-mail addresses and phone numbers blanked out, whatever they stand in."""
+    return F.regexp_replace(F.regexp_replace(col, EMAIL, "***@***"), PHONE, "***")
+
+
 def _mask(col: Column, field: T.StructField, patterns: Sequence[str]) -> Column | None:
     """The masked column, or None where nothing below ``field`` needs masking."""
     kind = field.dataType

@@ -341,23 +341,51 @@ def typed_purchases(purchases: DataFrame) -> DataFrame:
     )
 
 
-def fact_purchases(purchases: DataFrame, addresses: DataFrame) -> DataFrame:
+# What a purchase is looked up by among the addresses.
+PURCHASE_PLACE = {f"to_{p}": p for p in (*PLACE, "apartment", "postal_code")}
+
+
+def purchase_rows(purchases: DataFrame) -> DataFrame:
+    """Valid purchases, newest row per key, with the parts of their delivery address attached."""
     valid, _ = split_valid_rows(typed_purchases(purchases), REQUIRED_PURCHASE)
-    rows = _newest(valid, "fact_purchases")
-    placed = lookup(
+    return _newest(valid, "fact_purchases")
+
+
+def place_purchases(rows: DataFrame, addresses: DataFrame) -> DataFrame:
+    """The rows with the key of their delivery address, NULL where there is none (yet)."""
+    return lookup(
         rows,
         addresses,
-        [(F.col(f"to_{p}"), p) for p in (*PLACE, "apartment", "postal_code")],
+        [(F.col(c), p) for c, p in PURCHASE_PLACE.items()],
         {"address_id": "delivery_address_id"},
         unique=False,
         prefer=[F.col(VERSION), F.col("address_id")],
     )
+
+
+def placed_facts(placed: DataFrame) -> DataFrame:
     return placed.select(
         "purchase_id", "customer_id", "store_id", "total_amount", "payment_method",
         "is_delivery", "delivery_address_id", "purchase_datetime", VERSION,
     )
 
 
+def fact_purchases(purchases: DataFrame, addresses: DataFrame) -> DataFrame:
+    return placed_facts(place_purchases(purchase_rows(purchases), addresses))
+
+
+def unplaced(placed: DataFrame) -> DataFrame:
+    """Purchases that name a whole address no one has sent so far: they wait for it."""
+    waiting = placed.filter(F.col("delivery_address_id").isNull())
+    return waiting.dropna(subset=list(PURCHASE_PLACE)).drop("delivery_address_id")
+
+
+def called(waiting: DataFrame, addresses: DataFrame) -> DataFrame:
+    """The waiting purchases whose address is among these."""
+    known = addresses.select(*(F.col(p).alias(c) for c, p in PURCHASE_PLACE.items())).distinct()
+    return waiting.join(known, list(PURCHASE_PLACE), "left_semi").select(waiting.columns)
+
+
 def typed_items(purchases: DataFrame, items: str = "all") -> DataFrame:
     """Purchase items: every element of the list, or only the first in ``first`` mode."""
     if items == "all":

@@ -70,6 +70,9 @@ MART_KEYS = {
     "fact_purchases": ("purchase_id", "purchase_datetime"),
     "fact_purchase_items": ("purchase_id", "product_id"),
 }
+# The columns of a key by which rows are dealt to buckets, where that is not the whole key: what
+# lookups know of an address.
+BUCKET_KEYS = {"addresses": ("country", "city", "street", "house")}
 VERSION = "event_time"
 
 # Retention in days.

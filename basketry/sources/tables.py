@@ -7,7 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.functions.dates import month_key
+from basketry.functions.dates import Moment, days_before, month_key
+from basketry.sources import files
+from basketry.sources.snapshots import Snapshot
 
 MONTH = "ym"
 RUN = "run"
@@ -24,12 +26,24 @@ def write_raw(df: DataFrame, path: str, mode: str = "append", ts: str = "event_t
 
 
 def write_run(df: DataFrame, path: str, run: str, ts: str = "event_time") -> None:
-    """The part of a RAW table that one run brings, by month; repeating the run replaces it."""
+    """The part of a RAW table that one run brings, by month. Repeating the run replaces it, also
+    where the second attempt has no rows for a month of the first."""
+    files.delete(df.sparkSession, f"{path}/{RUN}={run}")
     stamped = df.withColumn(RUN, F.lit(run)).withColumn(MONTH, month_key(F.col(ts)))
     stamped = stamped.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, ts)
-    stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        RUN, MONTH
-    ).parquet(path)
+    stamped.write.mode("append").partitionBy(RUN, MONTH).parquet(path)
+
+
+def drop_months(spark: SparkSession, path: str, days: int, as_of: Moment) -> None:
+    """Delete the months of a RAW table that lie before the limit as a whole, unread."""
+    limit = spark.range(1).select(month_key(days_before(as_of, days))).first()[0]
+    for run in files.names(spark, path):
+        if run.startswith(f"{RUN}="):
+            for month in files.names(spark, f"{path}/{run}"):
+                if month.startswith(f"{MONTH}=") and month.split("=", 1)[1] < limit:
+                    files.delete(spark, f"{path}/{run}/{month}")
+            if not files.names(spark, f"{path}/{run}"):
+                files.delete(spark, f"{path}/{run}")
 
 
 def write_table(
@@ -56,33 +70,22 @@ def write_months(df: DataFrame, path: str, month_of: str) -> None:
     ).parquet(path)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-
-
-def replace_table(spark: SparkSession, following: str, path: str) -> None:
-    """Put a completely written table in the place of another."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(hadoop.Path(path), True)
-    if not fs.rename(hadoop.Path(following), hadoop.Path(path)):
-        raise OSError(f"{following} could not be moved to {path}")
-
-
 def list_tables(spark: SparkSession, base: str, exclude: str = "mv_") -> list[str]:
-    """Names of the table folders under ``base``, without those starting with ``exclude``."""
+    """Names of the table folders under ``base``, without those starting with ``exclude`` and
+    without the key tables kept beside others."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(base)
     found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
-    names = [s.getPath().getName() for s in found if s.isDirectory()]
-    return sorted(n for n in names if not n.startswith((exclude, "_", ".")))
+    names = {s.getPath().getName() for s in found if s.isDirectory()}
+    own = {n for n in names if not n.startswith((exclude, "_", "."))}
+    return sorted(n for n in own if n.removesuffix("_keys") == n or n.removesuffix("_keys") not in own)
 
 
 def register_catalog(spark: SparkSession, base: str, exclude: str = "mv_") -> list[str]:
     """A view per stored table, so that they can be queried by name."""
-    names = list_tables(spark, base, exclude)
+    names, committed = list_tables(spark, base, exclude), Snapshot(spark, base)
     for name in names:
-        spark.read.parquet(f"{base}/{name}").createOrReplaceTempView(name)
+        table = committed.read(name) if name in committed else spark.read.parquet(f"{base}/{name}")
+        table.createOrReplaceTempView(name)
     return names
 
 

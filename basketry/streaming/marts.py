@@ -1,9 +1,13 @@
 """Envelope stream to mart tables, batch by batch, with the builders of the batch run.
 
-A mart is kept as the rows each micro-batch appended, under ``batch_id=<n>``; a replayed batch
-replaces its own folder, so a replay changes nothing. Readers take the newest row per key, and
-``compact`` writes that out as a plain table. The cost of a micro-batch thus follows the batch
-and what it looks up, not the size of the tables it adds to.
+A mart is a log (``streaming.log``): the rows each micro-batch appended, dealt to buckets by key and
+compacted as batches come. A replayed batch replaces its own folder, so a replay changes nothing.
+Readers take the newest row per key; lookups of a batch open only the buckets of its keys. So the
+cost of a micro-batch follows the batch and what it looks up, not the size or the age of the tables.
+
+Purchases whose address no one has sent so far wait in a log of their own, in buckets of their
+place. A batch that brings addresses calls the purchases waiting for them, which are then built
+again with the key of their address: purchases may come before addresses.
 """
 
 from __future__ import annotations
@@ -19,13 +23,19 @@ from basketry.functions.dates import Moment
 from basketry.operators.dedup import latest_by_key
 from basketry.operators.flatten import flatten
 from basketry.operators.retention import retain
-from basketry.plans.daily import FACTS, STEPS
-from basketry.plans.marts import places as mart_places
-from basketry.schemas import ENTITIES, FACT_DAYS, MART_KEYS, VERSION
+from basketry.plans import marts as build
+from basketry.plans.daily import FACTS, STEPS, WAITING
+from basketry.schemas import BUCKET_KEYS, ENTITIES, FACT_DAYS, MART_KEYS, VERSION
 from basketry.sources.envelopes import split_valid
 from basketry.sources.tables import write_table
+from basketry.streaming.log import BATCH, append, compact_log, read_log, touched
 
-BATCH = "batch_id"
+PLACE = BUCKET_KEYS["addresses"]
+WAITING_PLACE = tuple(f"to_{c}" for c in PLACE)
+
+
+def _buckets(table: str) -> tuple[str, ...]:
+    return BUCKET_KEYS.get(table, MART_KEYS[table])
 
 
 def read_mart(
@@ -33,12 +43,13 @@ def read_mart(
 ) -> DataFrame:
     """Current rows of a mart table: the newest per key over all batches.
 
-    ``within`` holds values for some of the key columns; only those keys are read on, which
-    leaves little to shuffle where it is small enough to be broadcast.
+    ``within`` holds values for the columns the table is bucketed by; only those buckets are
+    opened and only those keys are read on.
     """
-    log = spark.read.parquet(f"{base}/{table}").drop(BATCH)
+    cols = _buckets(table)
+    log = read_log(spark, f"{base}/{table}", None if within is None else touched(within, cols))
     if within is not None:
-        same = [log[c].eqNullSafe(within[c]) for c in within.columns]
+        same = [log[c].eqNullSafe(within[c]) for c in cols]
         log = log.join(within, same, "left_semi")
     return latest_by_key(log, MART_KEYS[table])
 
@@ -57,15 +68,39 @@ def compact(
     return spark.read.parquet(out)
 
 
+def _purchases(raw: Mapping[str, DataFrame], addresses: DataFrame, base: str) -> DataFrame:
+    """The batch's purchases, and those waiting for an address that the batch brings."""
+    rows = build.purchase_rows(raw["purchases"])
+    brought = build.addresses(raw["customers"], raw["stores"])
+    waiting = read_log(rows.sparkSession, f"{base}/{WAITING}", touched(brought, PLACE))
+    if waiting is not None:
+        called = build.called(waiting, brought)
+        rows = latest_by_key(rows.unionByName(called), MART_KEYS["fact_purchases"])
+    return build.place_purchases(rows, addresses)
+
+
+def _compact_all(spark: SparkSession, base: str, batch_id: int) -> None:
+    for table, keys in MART_KEYS.items():
+        compact_log(spark, f"{base}/{table}", batch_id, keys, _buckets(table))
+
+    def waits(rows: DataFrame) -> DataFrame:
+        """Without the purchases whose address is known by now."""
+        places = rows.select(*(F.col(w).alias(c) for w, c in zip(WAITING_PLACE, PLACE, strict=True))).distinct()
+        return build.unplaced(build.place_purchases(rows, read_mart(spark, base, "addresses", places)))
+
+    compact_log(
+        spark, f"{base}/{WAITING}", batch_id, MART_KEYS["fact_purchases"], WAITING_PLACE, keep=waits
+    )
+
+
 def build_batch(base: str, items: str = "all") -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: transforms one batch of envelopes and appends to every mart.
 
     References are written before the dimensions and facts that look them up, so rows meet
-    what earlier batches or this one brought. Rows whose address comes later stay without it
-    until they are sent again.
+    what earlier batches or this one brought.
     """
 
-    def build(batch: DataFrame, batch_id: int) -> None:
+    def build_one(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         kept: list[DataFrame] = []
 
@@ -74,6 +109,7 @@ def build_batch(base: str, items: str = "all") -> Callable[[DataFrame, int], Non
             return kept[-1]
 
         try:
+            _compact_all(spark, base, batch_id)
             sent, raw = keep(batch), {}
             for entity in ENTITIES:
                 good, bad = split_valid(sent.filter(F.col("topic") == entity), entity)
@@ -81,16 +117,21 @@ def build_batch(base: str, items: str = "all") -> Callable[[DataFrame, int], Non
                 folder = f"{base}/quarantine/topic={entity}/{BATCH}={batch_id}"
                 bad.write.mode("overwrite").parquet(folder)
             # Addresses grow with the customers, so they are looked up by the batch's places.
-            places = keep(mart_places(raw["customers"], raw["stores"], raw["purchases"]))
+            places = keep(build.places(raw["customers"], raw["stores"], raw["purchases"]))
             current = _Current(spark, base, {"addresses": places})
             for name, step in STEPS:
-                rows = step(raw, current, items)
-                rows.write.mode("overwrite").parquet(f"{base}/{name}/{BATCH}={batch_id}")
+                if name == "fact_purchases":
+                    placed = keep(_purchases(raw, current["addresses"], base))
+                    append(build.unplaced(placed), f"{base}/{WAITING}", batch_id, WAITING_PLACE)
+                    rows = build.placed_facts(placed)
+                else:
+                    rows = step(raw, current, items)
+                append(rows, f"{base}/{name}", batch_id, _buckets(name))
         finally:
             for df in kept:
                 df.unpersist()
 
-    return build
+    return build_one
 
 
 class _Current(Mapping):

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from basketry.plans.daily import ingest, publish, run_daily
+from basketry.plans.daily import ingest, publish, read_marts, run_daily
 from basketry.schemas import ENTITIES
 
 START = datetime(2025, 1, 10, 7)
@@ -79,7 +79,7 @@ def documents(tmp_path):
 
 
 def rows(spark, out, name):
-    return spark.read.parquet(f"{out}/marts/{name}").count()
+    return read_marts(spark, out)[name].count()
 
 
 def test_marts_accumulate_beyond_the_raw_retention(spark, documents, tmp_path):

@@ -9,9 +9,9 @@ from support import AS_OF, DOCUMENTS, GOLDEN, needs_documents
 from pyspark.sql import functions as F
 
 from basketry.operators.quality import table_counts
-from basketry.plans.daily import alerts, build_marts, ingest, publish, read_raw
+from basketry.plans.daily import alerts, build_marts, ingest, publish, read_marts, read_raw
 from basketry.plans.features import FLAG_NAMES, category_bits, feature_matrix
-from basketry.schemas import ENTITIES, MART_KEYS
+from basketry.schemas import ENTITIES
 from basketry.sources.documents import load_all, read_entity, read_unreadable
 from basketry.sources.exports import export_csv
 from basketry.sources.tables import list_tables, register_catalog, write_months
@@ -26,7 +26,7 @@ MART_ROWS = {
 
 
 def stored(spark, out):
-    return {name: spark.read.parquet(f"{out}/marts/{name}") for name in MART_KEYS}
+    return read_marts(spark, out)
 
 
 def test_mart_row_counts(spark, full_run):
