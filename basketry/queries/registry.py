@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[["Source"], DataFrame]
 
 _QUERIES: dict[str, tuple[Query, str | None]] = {}
-_MODULES = ("cleaning", "ingest", "joins", "flags", "matrix", "marts", "quality", "streams")
+_MODULES = ("cleaning", "ingest", "joins", "flags", "matrix", "marts", "quality", "store", "streams")
 
 
 class Source:

@@ -72,12 +72,9 @@ def read_log(spark: SparkSession, path: str, buckets: Sequence[int] | None = Non
         return None
     schema = T.StructType.fromJson(json.loads(files.read_text(spark, f"{path}/{_SCHEMA}")))
     folders = [_folder(path, *x) for x in (spans(spark, path) if within is None else within)]
-    if buckets is not None:
-        names = {f"{BUCKET}={b}" for b in buckets}
-        folders = [f"{f}/{n}" for f in folders for n in files.names(spark, f) if n in names]
-    if not folders:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*folders).select(schema.names)
+    own = None if buckets is None else {f"{BUCKET}={b}" for b in buckets}
+    found = [f"{f}/{n}" for f in folders for n in files.names(spark, f) if n.startswith(f"{BUCKET}=") and (own is None or n in own)]
+    return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
 
 
 def compact_log(spark: SparkSession, path: str, before: int, keys: Sequence[str], by: Sequence[str], version: str = VERSION, fan_in: int = FAN_IN, keep: Callable[[DataFrame], DataFrame] | None = None) -> None:

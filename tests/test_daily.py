@@ -7,6 +7,7 @@ import pytest
 
 from basketry.plans.daily import ingest, publish, read_marts, run_daily
 from basketry.schemas import ENTITIES
+from basketry.sources.snapshots import Snapshot
 
 START = datetime(2025, 1, 10, 7)
 PLACE = {
@@ -110,3 +111,31 @@ def test_publishing_and_ingesting_again_replaces(spark, documents, tmp_path):
         publish(spark, base, f"{out}/envelopes", START)
         ingest(spark, f"{out}/envelopes", out, START)
     assert spark.read.parquet(f"{out}/raw/products").count() == 1
+
+
+def test_addresses_after_purchases_a_mended_and_a_withdrawn_document(spark, documents, tmp_path):
+    out = str(tmp_path / "out")
+    first = documents(
+        "first", products=[product("p1")], stores=[store("s1")], purchases=[purchase("o1", START)]
+    )
+    broken = tmp_path / "first" / "customers" / "0.json"
+    broken.write_text('{"customer_id": "c1", "phone": "+7 916 123-45-68", "email": "a@b.org"')
+    run_daily(spark, first, out, START)
+    assert read_marts(spark, out)["fact_purchases"].first().delivery_address_id is None
+    (bad,) = spark.read.parquet(f"{out}/quarantine").collect()
+    assert "123-45-68" not in bad.json_data and "a@b.org" not in bad.json_data
+    # The same run again with the document mended, and a product withdrawn.
+    broken.write_text(json.dumps(customer("c2")))
+    (tmp_path / "first" / "products" / "0.json").unlink()
+    publish(spark, first, f"{out}/envelopes/again", START)
+    ingest(spark, f"{out}/envelopes/again", out, START, first)
+    assert not list((tmp_path / "out" / "quarantine").glob("run=*/topic=*/*.parquet"))
+    assert not list((tmp_path / "out" / "raw" / "products").glob("run=*/ym=*/*.parquet"))
+    # A later run brings the customer, so the earlier purchase gets its address.
+    before = Snapshot(spark, f"{out}/marts").parts("dim_products")
+    run_daily(spark, documents("later", customers=[customer("c1")]), out, START + timedelta(days=1))
+    fact = read_marts(spark, out)["fact_purchases"].first()
+    assert fact.delivery_address_id is not None
+    snapshot = Snapshot(spark, f"{out}/marts")
+    assert snapshot.read("waiting_purchases").count() == 0
+    assert snapshot.parts("dim_products") == before
