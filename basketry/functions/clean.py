@@ -94,9 +94,58 @@ def to_date_or_null(col: Column) -> Column:
     return F.try_to_date(clean_trim(col), "yyyy-MM-dd")
 
 
-def to_ts(col: Column, strict: bool = False) -> Column:
+# Shapes of a moment beside ISO 8601, tried in this order: what the text must look like, and the
+# pattern that reads it. Two numbers before a year are day and month; month and day only where the
+# second could be no month.
+_CLOCK = r"(?:[ T]\d{1,2}:\d{2}(?::\d{2})?)?"
+_TIMES = "[[ ]['T']H:mm[:ss]]"
+MOMENTS = (
+    (rf"^\d{{4}}[/.]\d{{1,2}}[/.]\d{{1,2}}{_CLOCK}$", f"yyyy-M-d{_TIMES}"),
+    (rf"^\d{{1,2}}[/.-]\d{{1,2}}[/.-]\d{{4}}{_CLOCK}$", f"d-M-yyyy{_TIMES}"),
+    (rf"^\d{{1,2}}[/.-](?:1[3-9]|2\d|3[01])[/.-]\d{{4}}{_CLOCK}$", f"M-d-yyyy{_TIMES}"),
+    (rf"^\d{{1,2}} [A-Za-z]{{3}} \d{{4}}{_CLOCK}$", f"d MMM yyyy{_TIMES}"),
+    (rf"^[A-Za-z]{{3}} \d{{1,2}}, \d{{4}}{_CLOCK}$", f"MMM d, yyyy{_TIMES}"),
+    (r"^(?:19|20)\d{6}$", "yyyyMMdd"),
+    (r"^(?:19|20)\d{12}$", "yyyyMMddHHmmss"),
+)
+# Digits of a whole number that counts from 1970: seconds, thousandths, millionths.
+EPOCHS = ((9, 10, 1), (12, 13, 1_000), (15, 16, 1_000_000))
+
+
+def best_effort_ts(col: Column) -> Column:
+    """A moment written in any of the usual ways, NULL where it is none of them.
+
+    ISO 8601 first; then whole numbers by their count of digits; then ``MOMENTS`` in order. So
+    03/04/2025 is the third of April, 03/25/2025 the 25th of March, 20250403 a day and
+    1743638400 a count of seconds.
+    """
     text = clean_trim(col)
-    return text.cast("timestamp") if strict else F.try_to_timestamp(text)
+    iso = F.when(text.rlike(r"^\d{4}-"), F.try_to_timestamp(text))
+    # The other shapes are rare: as a function of an array element their text is computed once,
+    # which keeps the generated code of the common case small.
+    return F.coalesce(iso, F.get(F.transform(F.array(text), _other_moment), F.lit(0)))
+
+
+def _other_moment(text: Column) -> Column:
+    separated = F.regexp_replace(text, r"(?<=^\d{1,4})[/.](\d{1,2})[/.](?=\d)", "-$1-")
+    number = text.try_cast("decimal(18,0)")
+    counted = [
+        F.when(
+            text.rlike(rf"^\d{{{least},{most}}}$"),
+            F.timestamp_micros((number * (1_000_000 // unit)).cast("long")),
+        )
+        for least, most, unit in EPOCHS
+    ]
+    written = [
+        F.when(text.rlike(shape), F.try_to_timestamp(separated, F.lit(pattern)))
+        for shape, pattern in MOMENTS
+    ]
+    return F.coalesce(*counted, *written)
+
+
+def to_ts(col: Column, strict: bool = False) -> Column:
+    """A moment, read by best effort. ``strict`` takes ISO 8601 only and fails on other text."""
+    return clean_trim(col).cast("timestamp") if strict else best_effort_ts(col)
 
 
 def to_bool(col: Column) -> Column:

@@ -53,6 +53,14 @@ def object_lists(kind: T.StructType) -> list[str]:
     ]
 
 
+def text_lists(kind: T.StructType) -> list[str]:
+    return [
+        f.name
+        for f in kind
+        if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StringType)
+    ]
+
+
 def flatten(
     envelopes: DataFrame,
     shape: str | T.StructType,
@@ -62,8 +70,9 @@ def flatten(
 ) -> DataFrame:
     """RAW rows of one entity (or document schema) from envelopes ``(json_data, event_time[, doc])``.
 
-    ``items="all"`` also keeps the whole item list next to the first-item columns, so nothing of
-    a purchase is lost and RAW stays one row per document. ``missing=""`` writes blanks for NULL.
+    ``items="all"`` also keeps the whole item list next to the first-item columns, and every list
+    of texts as ``<name>_list`` next to its joined form, so nothing of a document is lost and RAW
+    stays one row per document. ``missing=""`` writes blanks for NULL.
     """
     schema = text_schema(shape) if isinstance(shape, str) else shape
     if "doc" not in envelopes.columns:
@@ -72,7 +81,10 @@ def flatten(
     if missing is not None:
         names = envelopes.select(*leaves).columns
         leaves = [or_blank(c).alias(n) for c, n in zip(leaves, names, strict=True)]
-    lists = [F.col(f"doc.{name}") for name in object_lists(schema)] if items == "all" else []
+    lists = []
+    if items == "all":
+        lists += [F.col(f"doc.{name}") for name in object_lists(schema)]
+        lists += [F.col(f"doc.{name}").alias(f"{name}_list") for name in text_lists(schema)]
     service = [F.col("json_data")] if keep_json else []
     return envelopes.select(*service, F.col(VERSION), *leaves, *lists)
 

@@ -36,6 +36,46 @@ def mask_topic(df: DataFrame, topic: str, sensitive: Collection[str] = SENSITIVE
     return mask_nested(df) if topic in sensitive else df
 
 
+# A JSON string without its quotes; possessive, as values can be long.
+_STRING = r'[^"\\]*+(?:\\.[^"\\]*+)*+'
+
+
+def replace_matches(col: Column, pattern: str, change: Callable[[Column], Column]) -> Column:
+    """A text with every match of a pattern changed by an expression, the rest left as it is."""
+    between = F.split(col, pattern, -1)
+    found = F.regexp_extract_all(col, F.lit(pattern), 0)
+    changed = F.zip_with(
+        between, found, lambda b, m: F.concat(b, F.when(m.isNull(), "").otherwise(change(m)))
+    )
+    return F.array_join(changed, "")
+
+
+def mask_json(col: Column, patterns: Sequence[str] = ("phone", "email")) -> Column:
+    """A JSON text with the values masked whose key contains a pattern (first pattern wins).
+
+    Works on the text, at any depth and without a schema, so everything else stays as it was
+    written. Strings, numbers and lists of them are masked; objects under such a key are not,
+    their own keys are. Keys written with escapes are not recognised.
+    """
+    for i, name in enumerate(patterns):
+        others = "".join(f'(?![^"]*{p})' for p in patterns[:i])
+        scalar = rf'"{_STRING}"|-?[0-9][0-9.eE+-]*+'
+        key = rf'"{others}[^"\\]*{name}[^"\\]*"\s*+:\s*+'
+        whole = rf"(?i){key}(?:{scalar}|\[(?:\s*+(?:{scalar})\s*+,?+)*+\])"
+
+        def masked(value: Column, mask=_MASKS[name]) -> Column:
+            text = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>")[0]
+            return F.to_json(F.array(mask(text))).substr(F.lit(2), F.length(F.to_json(F.array(mask(text)))) - 2)
+
+        def hidden(match: Column, key=key, scalar=scalar, masked=masked) -> Column:
+            head = F.regexp_extract(match, f"(?i)^({key})", 1)
+            body = match.substr(F.length(head) + 1, F.length(match))
+            return F.concat(head, replace_matches(body, scalar, masked))
+
+        col = replace_matches(col, whole, hidden)
+    return col
+
+
 def mask_text(col: Column) -> Column:
     """Text with e-mail addresses and phone numbers blanked out, whatever they stand in."""
     return F.regexp_replace(F.regexp_replace(col, EMAIL, "***@***"), PHONE, "***")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from basketry.functions.dates import moment, month_key
 from basketry.operators.dedup import latest_by_key
 from basketry.operators.flatten import flatten
-from basketry.operators.masking import mask_text, mask_topic
+from basketry.operators.masking import mask_json, mask_text
 from basketry.operators.quality import duplicate_alerts, duplicate_report
 from basketry.operators.retention import retain
 from basketry.plans import marts as build
@@ -25,15 +25,16 @@ from basketry.schemas import (
     FACT_DAYS,
     MART_KEYS,
     RAW_DAYS,
+    SENSITIVE,
     VERSION,
 )
 from basketry.sources import files
-from basketry.sources.documents import read_entity, read_unreadable
+from basketry.sources.documents import read_broken, read_documents
 from basketry.sources.envelopes import (
     read_envelopes,
     read_unrouted,
     split_valid,
-    to_envelope,
+    text_envelope,
     write_envelopes,
 )
 from basketry.sources.exports import export_csv
@@ -76,12 +77,14 @@ STEPS: tuple[tuple[str, Callable[[Tables, Tables, str], DataFrame]], ...] = (
 def publish(spark: SparkSession, documents: str, envelopes: str, run_time: datetime) -> None:
     """Mask every entity's documents and write them as the envelopes of one run.
 
-    ``envelopes`` is the folder of the run; publishing it again replaces them.
+    A document travels as the text it came in, with only its personal values changed, so fields
+    and kinds of values that no schema knows are kept. ``envelopes`` is the folder of the run; publishing it again replaces them.
     """
     for entity in ENTITIES:
-        docs = mask_topic(read_entity(spark, f"{documents}/{entity}", entity), entity)
+        docs = read_documents(spark, f"{documents}/{entity}")
+        text = mask_json(F.col("text")) if entity in SENSITIVE else F.col("text")
         files.delete(spark, f"{envelopes}/topic={entity}")
-        write_envelopes(to_envelope(docs, entity, run_time), envelopes, "overwrite")
+        write_envelopes(text_envelope(docs, text, entity, run_time), envelopes, "overwrite")
 
 
 def ingest(
@@ -110,7 +113,7 @@ def ingest(
         good, bad = split_valid(read_envelopes(spark, envelopes, [entity], run_time), entity)
         write_run(flatten(good, entity), f"{out}/raw/{entity}", run)
         if documents:
-            broken = read_unreadable(spark, f"{documents}/{entity}", entity).select(
+            broken = read_broken(spark, f"{documents}/{entity}").select(
                 F.col("text").alias("json_data"),
                 moment(run_time).cast(bad.schema["event_time"].dataType).alias("event_time"),
                 F.concat(F.lit("unreadable document: "), F.col("file")).alias("reason"),

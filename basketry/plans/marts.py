@@ -306,8 +306,15 @@ def dim_stores(
 
 
 def store_categories(stores: DataFrame, categories: DataFrame) -> DataFrame:
-    """Store-category pairs, read back from the joined label text; unknown labels get key 0."""
+    """Store-category pairs; unknown labels get key 0.
+
+    Labels come from the list that RAW keeps. Rows of before it did have the joined text only, which
+    is parsed; the pattern cannot express every label.
+    """
     labels = drop_blank(tidy_labels(extract_labels(strip_emoji(F.col("categories")))))
+    if "categories_list" in stores.columns:
+        listed = F.transform("categories_list", lambda x: F.trim(strip_emoji(x)))
+        labels = F.coalesce(drop_blank(listed), labels)
     pairs = unnest(require(stores, "store_id"), labels, "label").select(
         clean_text(F.col("store_id")).alias("store_id"),
         clean_text(F.col("label")).alias("label"),

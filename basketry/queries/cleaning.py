@@ -300,3 +300,32 @@ def surrogate_key_cardinality(t: Source) -> DataFrame:
 )
 def normalized_text(t: Source) -> DataFrame:
     return t.documents.select("doc_id", F.md5(c.nfc(F.col("text"))).alias("text_md5"))
+
+
+@query(
+    "dates_best_effort",
+    """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 9 THEN strftime(o_orderdate, '%Y-%m-%d') END AS day
+    FROM orders
+    """,
+)
+def dates_best_effort(t: Source) -> DataFrame:
+    """Order dates written in ten ways, the last of them no date at all."""
+    day = F.col("o_orderdate").cast("timestamp")
+    seconds = F.unix_seconds(day)
+    late = F.dayofmonth(day) > 12
+    ways = [
+        F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+        F.date_format(day, "yyyy/M/d HH:mm:ss"),
+        F.date_format(day, "dd.MM.yyyy HH:mm"),
+        F.when(late, F.date_format(day, "MM/dd/yyyy")).otherwise(F.date_format(day, "d/M/yyyy")),
+        seconds.cast("string"),
+        (seconds * 1000).cast("string"),
+        F.date_format(day, "yyyyMMddHHmmss"),
+        F.date_format(day, "d MMM yyyy"),
+        F.date_format(day, "MMM d, yyyy"),
+        F.date_format(day, "'week of' dd.MM.yyyy"),
+    ]
+    text = F.coalesce(*(F.when(F.col("o_orderkey") % 10 == i, w) for i, w in enumerate(ways)))
+    spaced = F.concat(F.lit(" "), text, F.lit(" "))
+    return t.orders.select("o_orderkey", F.date_format(c.best_effort_ts(spaced), "yyyy-MM-dd").alias("day"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,12 +10,20 @@ from basketry.functions.masking import mask_email as masked_email
 from basketry.functions.masking import mask_phone as masked_phone
 from basketry.operators.flatten import as_json, explode_items, flatten, join_labels
 from basketry.operators.labels import drop_blank, extract_labels, tidy_labels, unnest
+from basketry.operators.masking import mask_json
 from basketry.operators.masking import mask_nested as mask_fields
 from basketry.operators.retention import retain
 from basketry.queries import retail
 from basketry.queries.registry import Source, query
 from basketry.session import scratch_dir
-from basketry.sources.envelopes import split_valid, to_envelope
+from basketry.sources.documents import read_documents
+from basketry.sources.envelopes import (
+    read_envelopes,
+    split_valid,
+    text_envelope,
+    to_envelope,
+    write_envelopes,
+)
 from basketry.sources.tables import write_raw
 
 _EVENT = ("event_id", "user_id", "value", "props")
@@ -272,3 +280,51 @@ def retention_filter(t: Source) -> DataFrame:
     newest = t.orders.agg(F.max("o_orderdate")).scalar()
     kept = retain(t.orders, "o_orderdate", 360, newest)
     return kept.select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+
+
+@query(
+    "document_roundtrip",
+    """
+    SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'about ' || c_custkey ELSE c_custkey::VARCHAR END AS birth_date,
+           'kept ' || c_mktsegment AS extra_note, c_nationkey::VARCHAR AS extra_nation,
+           md5('+7' || lpad(c_custkey::VARCHAR, 10, '0')) AS phone,
+           md5(lower(c_name || '@mail.org')) AS first_mail, md5(lower('b' || c_custkey || '@mail.org')) AS second_mail,
+           md5('+7' || lpad(c_custkey::VARCHAR, 10, '1')) AS number_phone, c_comment AS comment
+    FROM (SELECT *, 'say "phone": ' || c_name AS c_comment FROM customer)
+    """,
+)
+def document_roundtrip(t: Source) -> DataFrame:
+    """Documents with unknown fields and values of unexpected kinds, sent and read back whole."""
+    base, key = scratch_dir(t.spark, "roundtrip"), F.col("c_custkey").cast("string")
+    docs = t.customer.select(
+        F.concat(F.lit("CUS-"), key).alias("customer_id"),
+        F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit('"about '), key, F.lit('"'))).otherwise(key).alias("birth"),
+        F.to_json(F.struct(F.concat(F.lit('say "phone": '), "c_name").alias("comment"))).alias("comment"),
+        "c_mktsegment", "c_nationkey", "c_name", "c_custkey",
+    )
+    text = F.format_string(
+        '{"customer_id": "%s", "birth_date": %s, "extra": {"note": "kept %s", "list": [{"nation": %s, "Work_Phone": "8 (%s)"}]}, '
+        '"web": {"emails": [" %s@Mail.org", "b%s@mail.org"]}, "phone": %s, "said": %s}',
+        "customer_id", "birth", "c_mktsegment", F.col("c_nationkey").cast("string"), F.lpad(key, 10, "0"),
+        "c_name", key, F.concat(F.lit("7"), F.lpad(key, 10, "1")), "comment",
+    )
+    docs.select(text.alias("value")).write.text(f"{base}/documents")
+    read = read_documents(t.spark, f"{base}/documents", multi_line=False)
+    sent = text_envelope(read, mask_json(F.col("text")), "customers", retail.RUN)
+    write_envelopes(sent, f"{base}/envelopes")
+    good, _ = split_valid(read_envelopes(t.spark, f"{base}/envelopes", ["customers"]), "customers")
+
+    def at(path: str) -> Column:
+        return F.get_json_object("json_data", f"$.{path}")
+
+    return flatten(good, "customers").select(
+        F.substring("customer_id", 5, 20).cast("long").alias("c_custkey"),
+        "birth_date",
+        at("extra.note").alias("extra_note"),
+        at("extra.list[0].nation").alias("extra_nation"),
+        at("extra.list[0].Work_Phone").alias("phone"),
+        at("web.emails[0]").alias("first_mail"),
+        at("web.emails[1]").alias("second_mail"),
+        F.col("phone").alias("number_phone"),
+        at("said.comment").alias("comment"),
+    )

@@ -8,10 +8,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.operators.flatten import flatten
 from basketry.plans import marts as build
 from basketry.queries import retail
 from basketry.queries.registry import Source, query
 from basketry.session import scratch_dir
+from basketry.sources.envelopes import split_valid, to_envelope
 
 
 def _addresses(t: Source) -> DataFrame:
@@ -238,6 +240,31 @@ def mart_store_categories(t: Source) -> DataFrame:
     ).select("store_id", F.coalesce("category_name", F.lit("unknown")).alias("category"))
 
 
+@query(
+    "store_labels_from_list",
+    """
+    SELECT 'store-' || s_suppkey AS store_id, unnest(CASE WHEN 'Brand#1' || (s_nationkey % 5 + 1) IN (SELECT p_brand FROM part)
+               THEN ['brand#1' || (s_nationkey % 5 + 1), 'unknown'] ELSE ['unknown'] END) AS category
+    FROM supplier
+    """,
+)
+def store_labels_from_list(t: Source) -> DataFrame:
+    """Labels with signs that the joined text could not be cut at, out of the list in RAW."""
+
+    def raw(docs: DataFrame, topic: str) -> DataFrame:
+        good, _ = split_valid(to_envelope(docs, topic, retail.RUN), topic)
+        return flatten(good, topic, keep_json=False)
+
+    products = retail.products(t).withColumn("group", F.element_at(F.split("description", "🥖 "), -1))
+    label = F.concat(F.lit("🥖 "), F.concat(F.lit("Brand#1"), F.regexp_extract("location.house", "[0-9]+", 0).cast("int") % 5 + 1))
+    stores = retail.stores(t).withColumn("categories", F.array(label, F.lit("semi-finished, ready-to-cook")))
+    categories = _stored(t, build.categories(raw(products, "products")))
+    pairs = build.store_categories(raw(stores, "stores"), categories)
+    return pairs.join(
+        categories.select("category_id", "category_name"), "category_id", "left"
+    ).select("store_id", F.coalesce("category_name", F.lit("unknown")).alias("category"))
+
+
 FACT_PURCHASES = """
     SELECT purchase_id, customer_id, store_id, total_amount, payment_method, is_delivery,
            delivery_street, day

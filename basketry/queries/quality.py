@@ -13,7 +13,14 @@ from basketry.operators.quality import (
     profile,
     table_counts,
 )
+from basketry.operators.sketches import (
+    daily_sketches,
+    estimated_duplicate_rate,
+    merged,
+    within_bound,
+)
 from basketry.queries.registry import Source, query
+from basketry.session import scratch_dir
 
 _TABLES = ("customer", "lineitem", "orders", "part", "supplier")
 
@@ -124,3 +131,27 @@ def duplicate_rate_approximate(t: Source) -> DataFrame:
     return t.lineitem.agg(
         duplicate_rate(F.col("l_orderkey"), approx=True).cast("int").alias("rate")
     )
+
+
+@query(
+    "distinct_by_sketch",
+    """
+    SELECT strftime(l_shipdate, '%Y%m') AS ym, count(l_orderkey) AS n_keys, true AS count_within, true AS rate_within
+    FROM lineitem GROUP BY 1
+    """,
+)
+def distinct_by_sketch(t: Source) -> DataFrame:
+    """Sketches stored per day and merged by month, held against the exact counts."""
+    path, month = scratch_dir(t.spark, "sketches"), F.date_format("day", "yyyyMM").alias("ym")
+    daily_sketches(t.lineitem, "l_orderkey", "l_shipdate").write.parquet(path)
+    exact = t.lineitem.groupBy(F.date_format("l_shipdate", "yyyyMM").alias("ym")).agg(
+        F.count_distinct("l_orderkey").alias("exact"),
+        duplicate_rate(F.col("l_orderkey")).alias("rate"),
+    )
+    rate = estimated_duplicate_rate(F.col("n_keys"), F.col("n_distinct"))
+    return merged(t.spark.read.parquet(path), month).join(exact, "ym").select(
+        "ym",
+        "n_keys",
+        within_bound(F.col("n_distinct"), F.col("exact")).alias("count_within"),
+        (F.abs(rate - F.col("rate")) <= 5).alias("rate_within"),
+    )

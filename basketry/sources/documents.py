@@ -50,6 +50,36 @@ def read_unreadable(
     return bad.select(F.col("_metadata.file_path").alias("file"), F.col(CORRUPT).alias("text"))
 
 
+def _texts(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """``file, text, broken`` of the files, or of their lines; blank ones are left out."""
+    rows = spark.read.text(path, wholetext=multi_line).select(
+        F.col("_metadata.file_path").alias("file"), F.trim("value", F.lit(" \t\r\n\ufeff")).alias("text")
+    )
+    # Only objects and lists of them are documents.
+    shaped = F.col("text").startswith("{") | F.col("text").startswith("[")
+    parsed = F.try_parse_json("text").isNotNull() & shaped
+    return rows.filter(F.col("text") != "").withColumn("broken", ~F.coalesce(parsed, F.lit(False)))
+
+
+def read_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """The documents under ``path`` as the JSON texts they came in, whatever fields they have.
+
+    Nothing is typed, so unknown fields and values of an unexpected kind are kept. A file (or line)
+    that is a list gives a document for each element.
+    """
+    good = _texts(spark, path, multi_line).filter(~F.col("broken"))
+    elements = F.transform(
+        F.try_parse_json("text").try_cast("array<variant>"), lambda v: F.to_json(v)
+    )
+    listed = F.when(F.col("text").startswith("["), elements).otherwise(F.array("text"))
+    return good.select(F.explode(listed).alias("text"))
+
+
+def read_broken(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """``file, text`` of what ``read_documents`` leaves out, as it is no JSON document."""
+    return _texts(spark, path, multi_line).filter("broken").select("file", "text")
+
+
 def load_all(
     spark: SparkSession,
     base: str,

@@ -24,6 +24,15 @@ def to_envelope(docs: DataFrame, topic: str, event_time: Moment) -> DataFrame:
     )
 
 
+def text_envelope(docs: DataFrame, text: Column, topic: str, event_time: Moment) -> DataFrame:
+    """Documents that are JSON text already, stamped with the one time of the run."""
+    return docs.select(
+        F.lit(topic).alias("topic"),
+        text.alias("json_data"),
+        moment(event_time).alias("event_time"),
+    )
+
+
 def write_envelopes(envelopes: DataFrame, path: str, mode: str = "append") -> None:
     """JSON lines, a folder per topic, so that a reader of one topic opens no other files.
 

@@ -132,3 +132,15 @@ def test_labels(texts):
     df = texts(" Мясо, рыба, яйца и бобовые,  Фрукты и ягоды", "")
     labels = drop_blank(tidy_labels(extract_labels(X)))
     assert values(df, labels) == [["Мясо, рыба, яйца и бобовые", "Фрукты и ягоды"], []]
+
+
+def test_best_effort_moments(texts):
+    cases = {
+        "2025-04-03T10:20:30.5": "2025-04-03 10:20:30", "2025-04-03": "2025-04-03 00:00:00", "2025/4/3 1:02": "2025-04-03 01:02:00",
+        "03/04/2025": "2025-04-03 00:00:00", "03/25/2025 10:11:12": "2025-03-25 10:11:12", "3.4.2025": "2025-04-03 00:00:00",
+        "31-12-2024T23:59": "2024-12-31 23:59:00", "1743638400": "2025-04-03 00:00:00", "1743638400123": "2025-04-03 00:00:00",
+        "1743638400123456": "2025-04-03 00:00:00", "20250403": "2025-04-03 00:00:00", "20250403101112": "2025-04-03 10:11:12",
+        "3 Apr 2025": "2025-04-03 00:00:00", "Apr 3, 2025 04:05": "2025-04-03 04:05:00", " 2025-04-03T10:20:30Z ": "2025-04-03 10:20:30",
+        "31.31.2025": None, "25/13/2025": None, "30.02.2025": None, "12": None, "soon": None, "": None, None: None, "2025-13-01": None,
+    }
+    assert values(texts(*cases), F.date_format(c.best_effort_ts(X), "yyyy-MM-dd HH:mm:ss")) == list(cases.values())
