@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.frames import SPACE_CHARS, ascii_lower, parallelism, stored, text_key, with_text
+from basketry.llm.frames import SPACE_CHARS, ascii_lower, packed, parallelism, stored, text_key, unpacked, without_lines
 from basketry.llm.textual import mixed
 
 MIN_CHARS = 20
@@ -114,7 +114,9 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
     hashed = F.transform(
         lines, lambda x, i: F.when(F.char_length(x) >= min_chars, F.struct(i.alias("line"), F.xxhash64(x).alias("h"), F.xxhash64(x, F.lit(1)).alias("print")))
     )
-    return docs.select("doc_id", text_key().alias("text_hash"), F.explode(F.filter(hashed, lambda x: x.isNotNull())).alias("x")).select(
+    # The hash of the text is taken below the explode, so that no line carries its whole text along.
+    rows = docs.select("doc_id", text_key().alias("text_hash"), "text")
+    return rows.select("doc_id", "text_hash", F.explode(F.filter(hashed, lambda x: x.isNotNull())).alias("x")).select(
         "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text_hash", "x.*"
     )
 
@@ -146,29 +148,27 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
 
 
 def dedup_lines(docs: DataFrame, **limits) -> DataFrame:
-    """All columns of the documents, and ``lines`` (array), ``dropped`` (places or null)."""
-    left = docs.withColumn("text_hash", text_key())
-    verdict = dropped_lines(docs, **limits).withColumnsRenamed({"doc_id": "v_doc_id", "text_hash": "v_text_hash"})
-    joined = left.join(verdict, left["doc_id"].eqNullSafe(verdict["v_doc_id"]) & (left["text_hash"] == verdict["v_text_hash"]), "left")
-    return joined.drop("v_doc_id", "v_text_hash", "text_hash")
+    """The packed documents (``doc``) and ``dropped``, the places of the lines each one loses."""
+    verdict = dropped_lines(docs, **limits).withColumnsRenamed({"doc_id": "v_id", "text_hash": "v_hash"})
+    left = packed(docs)
+    return left.join(verdict, left["k_id"].eqNullSafe(verdict["v_id"]) & (left["k_hash"] == verdict["v_hash"]), "left").select("doc", "dropped")
 
 
 def kept_text() -> Column:
     """The lines that stay, by the line feeds they had."""
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    return F.when(F.col("dropped").isNull(), F.coalesce("text", F.lit(""))).otherwise(
-        F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("dropped"), i)), "\n")
-    )
+    text = F.coalesce("doc.text", F.lit(""))
+    return F.when(F.col("dropped").isNull(), text).otherwise(without_lines(text, F.col("dropped")))
 
 
 def report(docs: DataFrame) -> DataFrame:
-    n_lines = F.char_length(F.coalesce("text", F.lit(""))) - F.char_length(F.translate(F.coalesce("text", F.lit("")), "\n", "")) + 1
+    text = F.coalesce("doc.text", F.lit(""))
+    n_lines = F.char_length(text) - F.char_length(F.translate(text, "\n", "")) + 1
     return dedup_lines(docs.select("doc_id", "text")).select(
-        "doc_id", n_lines.cast("long").alias("n_lines"), F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"), F.sha2(kept_text(), 256).alias("kept_sha256")
+        "doc.doc_id", n_lines.cast("long").alias("n_lines"), F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"), F.sha2(kept_text(), 256).alias("kept_sha256")
     )
 
 
 def rewrite(docs: DataFrame) -> DataFrame:
-    """The documents without the lines they lose; null text stays null."""
-    deduped = dedup_lines(docs)
-    return with_text(deduped, F.when(F.col("text").isNotNull(), kept_text())).select(docs.columns)
+    """The documents without the lines they lose; null text stays null. Extra columns may have any
+    names."""
+    return unpacked(dedup_lines(docs), docs, F.when(F.col("doc.text").isNotNull(), kept_text()))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.frames import bounded_batches, stored, text_key, with_text
+from basketry.llm.frames import bounded_batches, packed, stored, text_key, unpacked, without_lines
 from basketry.llm.textual import NOT_SPACE, Texts, grouped, hashes, lists, lowered, mixed, ranges, slices, spans, sums_by_text, texts_of, windows, words
 
 SHARE = 0.1
@@ -119,11 +119,11 @@ def report(docs: DataFrame, **limits) -> DataFrame:
 
 
 def clean(docs: DataFrame, **limits) -> DataFrame:
-    """The kept documents without their frequent lines, with all their columns."""
+    """The kept documents without their frequent lines, with all their columns, whatever their names."""
     good = verdicts(docs, **limits).filter("kept").select(
-        F.col("doc_id").alias("g_doc_id"), F.col("source").alias("g_source"), F.col("text_hash").alias("g_text_hash"), "cut"
-    ).dropDuplicates(["g_doc_id", "g_source", "g_text_hash"])
-    left = docs.withColumn("g_key", text_key())
-    joined = left.join(good, left["doc_id"].eqNullSafe(good["g_doc_id"]) & left["source"].eqNullSafe(good["g_source"]) & (left["g_key"] == good["g_text_hash"]))
-    lines = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("cut", i.cast("long")))
-    return with_text(joined, F.when(F.col("cut").isNull(), F.col("text")).otherwise(F.array_join(lines, "\n"))).select(docs.columns)
+        F.col("doc_id").alias("g_id"), F.col("source").alias("g_source"), F.col("text_hash").alias("g_hash"), "cut"
+    ).dropDuplicates(["g_id", "g_source", "g_hash"])
+    left = packed(docs)
+    joined = left.join(good, left["k_id"].eqNullSafe(good["g_id"]) & left["doc.source"].eqNullSafe(good["g_source"]) & (left["k_hash"] == good["g_hash"]))
+    text = F.col("doc.text")
+    return unpacked(joined, docs, F.when(F.col("cut").isNull(), text).otherwise(without_lines(text, F.col("cut"))))

@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.frames import stored
+from basketry.llm.frames import bound, running, stored
 
 # The base patterns. ``\G`` lets a match begin inside a run where the last one ended.
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -51,21 +51,29 @@ def _none() -> Column:
     return F.array().cast("array<struct<begin:int,rank:int,end:int>>")
 
 
-def found(text: Column, pattern: str, rank: int, valid: Callable[[Column], Column]) -> Column:
-    """The spans of a pattern: leftmost, non-overlapping, those that fail the check left out.
+def matches(text: Column, pattern: str, use: Callable[[Column], Column]) -> Column:
+    """An expression over the matches of a pattern, leftmost and non-overlapping: ``begin, hit`` and
+    ``before``, the end of the text between a match and the one before it.
 
-    Matches alternate with the pieces between them, so lengths add up to places.
+    Matches alternate with the pieces between them, so the running sum of lengths gives places.
     """
 
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + x["gap"]
-        end = begin + F.char_length(x["hit"])
-        span = F.array(F.struct(begin.alias("begin"), F.lit(rank).alias("rank"), end.alias("end")))
-        good = x["hit"].isNotNull() & valid(x["hit"])
-        return F.struct(end.alias("at"), F.when(good, F.concat(state["spans"], span)).otherwise(state["spans"]).alias("spans"))
+    def placed(pieces: Column) -> Column:
+        starts = running(F.transform(pieces, lambda x: x["gap"] + F.coalesce(F.char_length(x["hit"]), F.lit(0))), lambda a, b: a + b, F.lit(0))
+        joined = F.zip_with(pieces, starts, lambda x, at: F.struct((at + x["gap"]).alias("begin"), x["hit"].alias("hit"), x["before"].alias("before")))
+        return use(F.filter(joined, lambda x: x["hit"].isNotNull()))
+
+    pieces = F.zip_with(
+        F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+        lambda p, h: F.struct(F.char_length(p).alias("gap"), h.alias("hit"), F.right(p, F.lit(40)).alias("before")),
+    )
+    return bound(pieces, placed)
+
 
-    pieces = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda p, h: F.struct(F.char_length(p).alias("gap"), h.alias("hit")))
-    return F.aggregate(pieces, F.struct(F.lit(0).alias("at"), _none().alias("spans")), step, lambda s: s["spans"])
+def found(text: Column, pattern: str, rank: int, valid: Callable[[Column], Column]) -> Column:
+    """The spans of a pattern, those that fail the check left out."""
+    span = lambda x: F.struct(x["begin"].alias("begin"), F.lit(rank).alias("rank"), (x["begin"] + F.char_length(x["hit"])).alias("end"))
+    return matches(text, pattern, lambda hits: F.transform(F.filter(hits, lambda x: valid(x["hit"])), span))
 
 
 def digits(x: Column) -> Column:
@@ -140,23 +148,42 @@ def candidates(text: Column) -> Column:
     """Candidate words with their place, votes and features."""
     kind = "array<struct<begin:int,end:int,votes:string,features:array<string>>>"
 
-    def step(state: Column, x: Column) -> Column:
+    def entry(x: Column) -> Column:
         lead = F.char_length(x["hit"]) - F.char_length(F.ltrim(x["hit"], F.lit(PUNCTUATION)))
-        word = F.btrim(x["hit"], F.lit(PUNCTUATION))
-        begin = state["at"] + x["gap"] + lead
-        entry = F.struct(
-            begin.alias("begin"), (begin + F.char_length(word)).alias("end"), F.concat(*labelers(word, x["before"])).alias("votes"), features(word, x["before"]).alias("features")
+        before = F.lower(F.regexp_extract(x["before"], r"(\p{L}+)[^\p{L}]*$", 1))
+        return F.struct((x["begin"] + lead).alias("begin"), F.btrim(x["hit"], F.lit(PUNCTUATION)).alias("word"), before.alias("before"))
+
+    def judged(x: Column) -> Column:
+        word, before = x["word"], x["before"]
+        return F.struct(
+            x["begin"].alias("begin"), (x["begin"] + F.char_length(word)).alias("end"), F.concat(*labelers(word, before)).alias("votes"), features(word, before).alias("features")
         )
-        good = x["hit"].isNotNull() & (F.char_length(word) >= 6)
-        return F.struct((state["at"] + x["gap"] + F.char_length(x["hit"])).alias("at"), F.when(good, F.concat(state["found"], F.array(entry))).otherwise(state["found"]).alias("found"))
 
-    before = lambda p: F.lower(F.regexp_extract(F.right(p, F.lit(40)), r"(\p{L}+)[^\p{L}]*$", 1))
-    pieces = F.zip_with(
-        F.split(text, CANDIDATE, -1), F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)),
-        lambda p, h: F.struct(F.char_length(p).alias("gap"), h.alias("hit"), before(p).alias("before")),
-    )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found"))
-    return F.when(text.rlike("[0-9@]"), F.aggregate(pieces, start, step, lambda s: s["found"])).otherwise(F.array().cast(kind))
+    long_enough = lambda hits: F.filter(F.transform(hits, entry), lambda x: F.char_length(x["word"]) >= 6)
+    some = matches(text, CANDIDATE, lambda hits: F.transform(long_enough(hits), judged))
+    return F.when(text.rlike("[0-9@]"), some).otherwise(F.array().cast(kind))
+
+
+def clear_of(base: Column, spans: Column) -> Column:
+    """The numbers of the spans that overlap none of the base spans.
+
+    All are put in order of their begin. A span is met by a base span that begins no later if the
+    greatest end so far lies beyond its begin, by one that begins later if the next begin lies
+    before its end.
+    """
+    ends = F.transform(base, lambda b: F.struct(b["begin"].alias("begin"), F.lit(0).alias("side"), b["end"].alias("end"), F.lit(-1).alias("number")))
+    own = F.transform(spans, lambda c, i: F.struct(c["begin"].alias("begin"), F.lit(1).alias("side"), c["end"].alias("end"), i.alias("number")))
+    last = (1 << 31) - 1
+
+    def swept(events: Column) -> Column:
+        reach = running(F.transform(events, lambda e: F.when(e["side"] == 0, e["end"]).otherwise(0)), lambda a, b: F.greatest(a, b), F.lit(0))
+        back = F.transform(F.reverse(events), lambda e: F.when(e["side"] == 0, e["begin"]).otherwise(last))
+        following = F.reverse(running(back, lambda a, b: F.least(a, b), F.lit(last)))
+        both = F.zip_with(reach, following, lambda r, n: F.struct(r.alias("reach"), n.alias("next")))
+        clear = F.zip_with(events, both, lambda e, x: F.when((e["side"] == 1) & (x["reach"] <= e["begin"]) & (x["next"] >= e["end"]), e["number"]))
+        return F.filter(clear, lambda n: n.isNotNull())
+
+    return bound(F.array_sort(F.concat(ends, own)), swept)
 
 
 def reliabilities(counts: dict[str, int], rounds: int = 60) -> dict[str, float]:
@@ -208,11 +235,10 @@ def detect(docs: DataFrame) -> DataFrame:
     prior, weights = train(rows.select(F.explode("candidates").alias("c")).select("c.votes", "c.features"))
 
     def accepted(c: Column) -> Column:
-        score = F.aggregate(c["features"], F.lit(prior), lambda s, f: s + looked_up(weights, f, 0.0))
-        clear = ~F.exists("base", lambda b: (b["begin"] < c["end"]) & (c["begin"] < b["end"]))
-        return clear & (score > 0)
+        return F.aggregate(c["features"], F.lit(prior), lambda s, f: s + looked_up(weights, f, 0.0)) > 0
 
-    other = F.transform(F.filter("candidates", accepted), lambda c: F.struct(c["begin"].alias("begin"), F.lit(len(KINDS) - 1).alias("rank"), c["end"].alias("end")))
+    clear = F.transform(clear_of(F.col("base"), F.col("candidates")), lambda n: F.get("candidates", n))
+    other = F.transform(F.filter(clear, accepted), lambda c: F.struct(c["begin"].alias("begin"), F.lit(len(KINDS) - 1).alias("rank"), c["end"].alias("end")))
     return rows.select("doc_id", "base", F.array_sort(F.concat("base", other)).alias("spans"))
 
 

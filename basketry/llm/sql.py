@@ -125,15 +125,15 @@ def repeats(docs: str) -> str:
     FROM d LEFT JOIN x ON d.doc_id = x.doc_id"""
 
 
-def near_duplicates(docs: str) -> str:
+def near_duplicates(docs: str, k: int = 3, percent: int = 90) -> str:
     """All pairs that share an n-gram, their overlap, and the components of the links."""
     return f"""
     WITH RECURSIVE d AS (SELECT doc_id, {words(lower('text'))} AS w FROM {docs}),
-    g AS (SELECT DISTINCT doc_id, array_to_string(w[pos:pos + 2], ' ') AS gram
-          FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS pos FROM d WHERE len(w) > 0)),
+    g AS (SELECT DISTINCT doc_id, array_to_string(w[pos:pos + {k - 1}], ' ') AS gram
+          FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {k - 1}, 1) + 1)) AS pos FROM d WHERE len(w) > 0)),
     n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
     p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
-    l AS (SELECT x, y FROM p JOIN n a ON x = a.doc_id JOIN n b ON y = b.doc_id WHERE 100 * o >= 90 * (a.n + b.n - o)),
+    l AS (SELECT x, y FROM p JOIN n a ON x = a.doc_id JOIN n b ON y = b.doc_id WHERE 100 * o >= {percent} * (a.n + b.n - o)),
     r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x)
     SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.y) AS component_id FROM d JOIN r ON d.doc_id = r.x LEFT JOIN n ON d.doc_id = n.doc_id GROUP BY d.doc_id"""
 
@@ -151,7 +151,7 @@ def near_duplicate_links(docs: str) -> str:
     ON c.doc_id = k.doc_id"""
 
 
-def pipeline() -> str:
+def pipeline(k: int, percent: int) -> str:
     """The stages one after another, each over what its predecessor kept."""
     return f"""
     WITH RECURSIVE s0 AS (SELECT doc_id, text, source FROM documents),
@@ -159,7 +159,7 @@ def pipeline() -> str:
     s1 AS MATERIALIZED (SELECT s0.doc_id, q.left_text AS text, s0.source FROM s0 JOIN q ON s0.doc_id = q.doc_id WHERE q.kept),
     t AS MATERIALIZED (SELECT * FROM ({line_dedup_texts("s1")})),
     s2 AS MATERIALIZED (SELECT s1.doc_id, t.kept AS text, s1.source FROM s1 JOIN t ON s1.doc_id = t.doc_id),
-    n AS MATERIALIZED (SELECT * FROM ({near_duplicates("s2")})),
+    n AS MATERIALIZED (SELECT * FROM ({near_duplicates("s2", k, percent)})),
     s3 AS MATERIALIZED (SELECT s2.* FROM s2 JOIN n ON s2.doc_id = n.doc_id WHERE n.component_id = s2.doc_id),
     c AS MATERIALIZED (SELECT * FROM ({contamination("s3")})),
     s4 AS MATERIALIZED (SELECT s3.* FROM s3 JOIN c ON s3.doc_id = c.doc_id WHERE NOT c.contaminated)
