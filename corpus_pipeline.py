@@ -1,4 +1,10 @@
-"""A corpus pipeline: each stage reads what its predecessor kept and its decisions take effect."""
+"""A corpus pipeline: each stage reads what its predecessor kept and its decisions take effect.
+
+Near duplicates here are texts whose sets of five-word shingles agree to 80 % or more; one of each
+group stays. Defined cases are those of the operators: null and empty texts fail the quality rules
+and go; rows without id stay in the near-duplicate stage; repeated rows are judged one by one;
+extra columns are carried along whatever their names; an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from basketry.llm import decontamination, jaccard_join, line_dedup, line_quality, source_mix, sql
 from basketry.llm.frames import stored, table
 
+SHINGLE, PERCENT = 5, 80  # of the near-duplicate stage
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -21,7 +29,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard_join.clean(docs)
+    return jaccard_join.clean(docs, k=SHINGLE, percent=PERCENT)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +48,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("source_mix", source_mix_stage),
 ]
 
-ORACLE_SQL = sql.pipeline()
+ORACLE_SQL = sql.pipeline(SHINGLE, PERCENT)
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
