@@ -48,6 +48,7 @@ ORDER_SIZE = 1 << 18  # n-grams in the broadcast order: 4 MB
 LOCAL_REPEATS = 3
 COUNT_SLICE = 2 << 20  # bytes of text in which an n-gram must repeat to be counted
 BINS = 64
+MOST = 32_767  # a bin counts no further: distances of longer sets only get smaller
 PIVOTS = 32  # members that nodes of a larger group meet in a round
 TRIES = 2  # of these, the nearest by histogram and as many by hash that a node is verified against
 BEFORE = 8  # earlier n-grams of open groups by which a repeated pair is told
@@ -120,7 +121,8 @@ def signatures(docs: DataFrame, k: int, percent: int, order: tuple[np.ndarray, n
                 np.cumsum(mixed(h), out=total[0, 1:])
                 np.cumsum(mixed(h * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1)), out=total[1, 1:])
                 sig, check = (mixed((t[at[1:]] - t[at[:-1]]) + n.astype(np.uint64)).view(np.int64) for t in total)
-                bins = np.bincount(of * BINS + (h >> np.uint64(58)).astype(np.int64), minlength=len(n) * BINS).astype(np.int32)
+                bins = np.bincount(of * BINS + (h >> np.uint64(58)).astype(np.int64), minlength=len(n) * BINS)
+                bins = np.minimum(bins, MOST).astype(np.int16)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": batch.column(0).slice(i, j - i), "text_hash": batch.column(1).slice(i, j - i), "n": pa.array(n.astype(np.int64)),
@@ -131,7 +133,7 @@ def signatures(docs: DataFrame, k: int, percent: int, order: tuple[np.ndarray, n
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", text_key().alias("text_hash"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(sign, f"doc_id {kind}, text_hash long, n long, sig long, check long, prefix array<long>, bins array<int>")
+    return rows.mapInArrow(sign, f"doc_id {kind}, text_hash long, n long, sig long, check long, prefix array<long>, bins array<smallint>")
 
 
 def linked(overlap: Column, a: Column, b: Column, percent: int) -> Column:
@@ -140,7 +142,7 @@ def linked(overlap: Column, a: Column, b: Column, percent: int) -> Column:
 
 def distance(a: Column, b: Column) -> Column:
     """Distance of two histograms: at most the symmetric difference of the sets."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda s, x: s + x)
 
 
 def suffix_filter(a: Column, b: Column, na: Column, nb: Column, percent: int) -> Column:
@@ -201,13 +203,18 @@ class Join:
         grams = self.held()
         return grams.join(grams.groupBy("gram").agg(F.min(F.struct("n", "node", "pos")).alias("first")), "gram")
 
+    def near(self, pairs: DataFrame) -> DataFrame:
+        """The pairs ``a, b`` that pass the suffix filter, and how ``far`` their histograms are apart."""
+        x = self.nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bins").alias("bins_a"))
+        y = self.nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bins").alias("bins_b"))
+        both = pairs.join(x, "a").join(y, "b")
+        near = both.filter(suffix_filter(F.col("bins_a"), F.col("bins_b"), F.col("na"), F.col("nb"), self.percent))
+        return near.select("a", "b", distance(F.col("bins_a"), F.col("bins_b")).alias("far"))
+
     def close(self, pairs: DataFrame) -> DataFrame:
         """Distinct candidate pairs ``a, b`` that pass the suffix filter."""
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        x = self.nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bins").alias("bins_a"))
-        y = self.nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bins").alias("bins_b"))
-        near = pairs.join(x, "a").join(y, "b")
-        return stored(near.filter(suffix_filter(F.col("bins_a"), F.col("bins_b"), F.col("na"), F.col("nb"), self.percent)).select("a", "b"), "candidates")
+        return stored(self.near(pairs).select("a", "b"), "candidates")
 
     def sets(self, wanted: DataFrame) -> DataFrame:
         """``node, grams`` of the wanted nodes, from the text of one of their rows."""
@@ -269,43 +276,47 @@ class Join:
     def pivot_pairs(self, members: DataFrame, turn: int) -> DataFrame:
         """Candidate pairs ``a, b`` of nodes outside the largest component and a few members of their group.
 
-        Of the members that pass the filters a node meets the nearest and a few drawn by hash, which
-        tie groups of even nearer copies together; what they leave apart is left to later steps.
+        Of the members drawn that pass the filters a node meets those it shares most prefix n-grams with,
+        and takes the nearest and a few drawn by hash, which tie groups of even nearer copies together;
+        what they leave apart is left to later steps. Histograms are looked up for those it meets only.
         """
-        large = members.filter(F.col("size") > PIVOTS).join(self.nodes.select("node", "bins"), "node").withColumn("draw", F.xxhash64("node", F.lit(turn)))
-        slots = large.groupBy("gram", F.pmod("draw", F.lit(PIVOTS)).alias("slot")).agg(F.min(F.struct("draw", "node", "n", "pos", "comp", "bins")).alias("one"))
+        large = members.filter(F.col("size") > PIVOTS).select("gram", "node", "n", "pos", "comp", "main")
+        drawn = large.withColumn("draw", F.xxhash64("node", F.lit(turn)))
+        slots = drawn.groupBy("gram", F.pmod("draw", F.lit(PIVOTS)).alias("slot")).agg(F.min(F.struct("draw", "node", "n", "pos", "comp")).alias("one"))
         pivots = slots.groupBy("gram").agg(F.collect_list("one").alias("pivots"))
 
-        def near(p: Column) -> Column:
-            return (
-                (p["comp"] != F.col("comp")) & positional(F.col("n"), p["n"], F.col("pos"), p["pos"], self.percent)
-                & suffix_filter(F.col("bins"), p["bins"], F.col("n"), p["n"], self.percent)
-            )
+        def passing(p: Column) -> Column:
+            return (p["comp"] != F.col("comp")) & positional(F.col("n"), p["n"], F.col("pos"), p["pos"], self.percent)
 
-        found = F.transform(F.filter("pivots", near), lambda p: F.struct(distance(F.col("bins"), p["bins"]).alias("far"), p["node"].alias("node")))
-        met = large.filter("comp <> main").join(pivots, "gram").select("node", found.alias("near"))
-        drawn = F.transform("near", lambda p: F.struct(F.xxhash64(p["node"], "node", F.lit(turn)).alias("far"), p["node"].alias("node")))
-        tried = F.concat(*(F.slice(F.array_sort(c)["node"], 1, TRIES) for c in (F.col("near"), drawn)))
-        each = met.select("node", F.explode(F.array_distinct(tried)).alias("pivot"))
-        return each.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+        met = large.filter("comp <> main").join(pivots, "gram").select(F.col("node").alias("a"), F.explode(F.filter("pivots", passing)["node"]).alias("b"))
+        often = met.groupBy("a", "b").agg((-F.count("*")).alias("shared")).groupBy("a").agg(F.sort_array(F.collect_list(F.struct("shared", "b"))).alias("all"))
+        near = self.near(often.select("a", F.explode(F.slice("all", 1, PIVOTS)["b"]).alias("b"))).groupBy("a").agg(F.collect_list(F.struct("far", "b")).alias("near"))
+        again = F.transform("near", lambda p: F.struct(F.xxhash64(p["b"], "a", F.lit(turn)).alias("far"), p["b"].alias("b")))
+        tried = F.concat(*(F.slice(F.array_sort(c)["b"], 1, TRIES) for c in (F.col("near"), again)))
+        each = near.select("a", F.explode(F.array_distinct(tried)).alias("b"))
+        return each.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def small_group_pairs(self, members: DataFrame) -> DataFrame:
-        """Candidate pairs ``a, b`` of different components within groups of at most ``PIVOTS`` nodes.
+        """Pairs ``a, b`` of different components that pass the filters within groups of at most ``PIVOTS`` nodes.
 
-        Such a group is one row, so that only pairs that pass the filters are looked up histograms for.
+        Such a group is one row, so that only pairs that pass leave it.
         """
         groups = members.filter(F.col("size") <= PIVOTS).groupBy("gram").agg(F.collect_list(F.struct("node", "n", "pos", "comp")).alias("all"))
         each = groups.select("all", F.explode("all").alias("x"))
         x = F.col("x")
 
-        def near(y: Column) -> Column:
+        def passing(y: Column) -> Column:
             return (x["comp"] != y["comp"]) & (x["node"] < y["node"]) & positional(x["n"], y["n"], x["pos"], y["pos"], self.percent)
 
-        met = each.select(x["node"].alias("a"), F.filter("all", near).alias("near"))
-        return self.close(met.select("a", F.explode(F.col("near.node")).alias("b")))
+        met = each.select(x["node"].alias("a"), F.filter("all", passing).alias("near"))
+        return met.select("a", F.explode(F.col("near.node")).alias("b"))
 
     def remaining_pairs(self, members: DataFrame) -> DataFrame:
-        """All candidate pairs ``a, b`` of nodes outside the largest component of their group with other components."""
+        """All candidate pairs ``a, b`` of nodes outside the largest component of their group with other components.
+
+        Here every member of a group counts, so the histograms go along: one for each row of a group,
+        not for each pair, and only pairs that pass all filters leave the join.
+        """
         few = self.small_group_pairs(members)
         earlier = Window.partitionBy("node").orderBy("pos").rowsBetween(-BEFORE, -1)
         members = members.filter(F.col("size") > PIVOTS)
@@ -320,7 +331,7 @@ class Join:
             & suffix_filter(F.col("x_bins"), F.col("y_bins"), F.col("x_n"), F.col("y_n"), self.percent)
         )
         many = pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"))
-        return many.unionByName(few).distinct()
+        return many.unionByName(self.close(few)).distinct()
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Verified pairs of nodes, enough to connect every component, and the components."""
