@@ -12,7 +12,6 @@ from basketry.functions.aggregates import (
     count_where,
     ever,
     mean,
-    n_distinct,
     n_distinct_where,
     never,
     one_only,
@@ -142,13 +141,12 @@ def feat_multicity(t: Source) -> DataFrame:
     SELECT c_custkey AS customer_id,
            (c_mktsegment = 'BUILDING' AND count(DISTINCT o_orderkey) >= 3)::INT AS loyal_customer,
            (count(o_orderkey) = 0)::INT AS no_purchases
-    FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderstatus = 'F'
+    FROM customer LEFT JOIN orders ON o_custkey = c_custkey
     GROUP BY c_custkey, c_mktsegment
     """,
 )
 def feat_loyal(t: Source) -> DataFrame:
-    paid = matrix.purchases(t).filter(F.col("payment_method") == "cash")
-    flags = customer_flags(paid, matrix.scope(t), ("loyal_customer", "no_purchases"))
+    flags = customer_flags(matrix.purchases(t), matrix.scope(t), ("loyal_customer", "no_purchases"))
     member = F.col("is_loyalty_member") & F.col("loyal_customer")
     return (
         matrix.customers(t)
@@ -186,7 +184,7 @@ def _all_customers(t: Source, flags: DataFrame, names: Sequence[str]) -> DataFra
 
 _VISITS = """
     SELECT c_custkey AS customer_id, {flags}
-    FROM customer LEFT JOIN events ON user_id = c_custkey AND event_type = 'purchase' GROUP BY 1
+    FROM customer LEFT JOIN events ON user_id = c_custkey GROUP BY 1
 """
 
 
@@ -199,8 +197,7 @@ _VISITS = """
     ),
 )
 def feat_hour_flags(t: Source) -> DataFrame:
-    visits = _visits(t.events.filter(F.col("event_type") == "purchase"))
-    flags = customer_flags(visits, matrix.scope(t), _TIMES[:3])
+    flags = customer_flags(_visits(t.events), matrix.scope(t), _TIMES[:3])
     return _all_customers(t, flags, _TIMES[:3])
 
 
@@ -248,13 +245,14 @@ def feat_new_customer(t: Source) -> DataFrame:
     """,
 )
 def feat_distinct_counts(t: Source) -> DataFrame:
-    # Repeated pairs go before the join: the outer side of one cannot be split when skewed.
-    pairs = t.lineitem.select("l_orderkey", "l_suppkey").distinct()
-    joined = t.orders.join(pairs, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    return joined.groupBy(F.col("o_custkey").alias("customer_id")).agg(
-        n_distinct(F.col("l_suppkey")).alias("n_stores"),
-        as_flag(n_distinct(F.col("l_suppkey")) >= 20).alias("many_stores"),
-    )
+    # The inner join can be split when skewed, an outer one only on its preserved side. Customers
+    # without lines come with a pair that has no supplier, so one distinct serves both.
+    lines = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"))
+    pairs = lines.select(F.col("o_custkey").alias("customer_id"), "l_suppkey")
+    buyers = t.orders.select(F.col("o_custkey").alias("customer_id"), F.lit(None).alias("l_suppkey"))
+    counted = pairs.unionByName(buyers).distinct().groupBy("customer_id")
+    n_stores = F.count("l_suppkey")
+    return counted.agg(n_stores.alias("n_stores"), as_flag(n_stores >= 20).alias("many_stores"))
 
 
 @query(

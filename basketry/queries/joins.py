@@ -103,15 +103,14 @@ def fact_address_join(t: Source) -> DataFrame:
         SELECT l_orderkey, l_linenumber AS line, l_suppkey,
                row_number() OVER (PARTITION BY l_orderkey ORDER BY (l_returnflag = 'N') DESC,
                    l_shipdate DESC, l_linenumber DESC, l_suppkey DESC) AS rn
-        FROM lineitem WHERE l_linestatus = 'O') ON o_orderkey = l_orderkey AND rn = 1
+        FROM lineitem) ON o_orderkey = l_orderkey AND rn = 1
     """,
 )
 def lookup_preferred_match(t: Source) -> DataFrame:
-    lines = t.lineitem.filter(F.col("l_linestatus") == "O")
     prefer = [F.col("l_returnflag") == "N", F.col("l_shipdate")]
     found = lookup(
         t.orders.select("o_orderkey"),
-        lines,
+        t.lineitem,
         [(F.col("o_orderkey"), "l_orderkey")],
         {"l_linenumber": "preferred_line", "l_suppkey": "preferred_supplier"},
         unique=False,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -133,15 +133,18 @@ def split_valid(
     }
     parsed = F.array(F.from_json("json_data", schema, options))
     sent = F.coalesce(F.col("json_data"), F.lit("")) != ""
+    none = F.array().cast(T.ArrayType(schema))
 
     def readable(doc: Column) -> Column:
         found = reduce(Column.__or__, (doc[f.name].isNotNull() for f in _schema(shape)))
         return doc.isNotNull() & (doc[CORRUPT].isNull() | found)
 
-    good = envelopes.filter(sent).withColumn("doc", F.explode(F.filter(parsed, readable)))
+    def kept(wanted: Callable[[Column], Column]) -> Column:
+        return F.explode(F.when(sent, F.filter(parsed, wanted)).otherwise(none))
+
+    good = envelopes.withColumn("doc", kept(readable))
     unparsed = (
-        envelopes.filter(sent)
-        .withColumn("_bad", F.explode(F.filter(parsed, lambda d: ~readable(d))))
+        envelopes.withColumn("_bad", kept(lambda d: ~readable(d)))
         .select("json_data", "event_time", F.lit("unparseable json_data").alias("reason"))
     )
     unsent = envelopes.filter(~sent).select(
