@@ -1,10 +1,14 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
-Training counts hashed n-grams of code points (lower-cased) by language over all training rows and
-adds them up in Spark; the counts have at most ``BUCKETS`` times ``MOST_LANGS`` entries. The matrix
-of log-probabilities is broadcast and each batch is scored as a sparse product in numpy. Texts of
-one language differ in kind more than in length, so the posterior is that of the mean n-gram,
-sharpened by ``SHARPNESS``.
+Training counts hashed n-grams of code points (lower-cased) by language over all training rows,
+and the rows of each language, which give its prior. Spark adds the counts up. A matrix of
+log-probabilities is broadcast and each batch is scored as a sparse product in numpy. A matrix
+takes at most ``BLOCK_LANGS`` languages: of more, one block follows the other and each row carries
+its best language and the sum of the weights so far.
+
+``score`` is the posterior of the language. The n-grams of a text depend on each other, so a text
+of more than ``EVIDENCE`` of them counts as that many of its mean n-gram; shorter ones are plain
+multinomial naive Bayes.
 
 Defined cases: null text and texts without a letter are ``und`` with score 0, as is every text
 when nothing was learned; rows without doc_id are held out; rows without lang teach nothing;
@@ -14,22 +18,32 @@ gives an empty result. Only ``doc_id``, ``text`` and, in training, ``lang`` are
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.frames import bounded_batches
+from basketry.llm.frames import bounded_batches, stored
 from basketry.llm.textual import Texts, mixed, slices, texts_of
 
 BUCKETS = 1 << 16
 SIZES = (2, 3)
-MOST_LANGS = 256  # the matrix stays under 64 MB; more languages raise an error
+BLOCK_LANGS = 256  # a matrix stays under 64 MB
 SMOOTHING = 0.5
-SHARPNESS = 40.0
+EVIDENCE = 40
 HELD_OUT = 5
+ROWS = -1  # stands for the bucket that counts rows instead of n-grams
+
+
+class Block(NamedTuple):
+    """Some languages in code point order, their log priors and log-probabilities of buckets."""
+
+    langs: list[str]
+    prior: np.ndarray
+    matrix: np.ndarray
 
 
 def code_points(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -66,10 +80,11 @@ def held_out(docs: DataFrame):
 
 
 def gram_counts(train: DataFrame) -> DataFrame:
-    """``lang, bucket, n`` over all training rows (``text`` lower-cased, ``lang``)."""
+    """``lang, bucket, n`` over all training rows (``text`` lower-cased, ``lang``); see ``ROWS``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
+        rows: dict[str, int] = {}
         for batch in batches:
             lang = batch.column(1).dictionary_encode()
             names, number = lang.dictionary.to_pylist(), lang.indices.to_numpy()
@@ -79,61 +94,83 @@ def gram_counts(train: DataFrame) -> DataFrame:
                 for k in np.unique(number[i:j]):
                     got = np.bincount(bucket[kind == k], minlength=BUCKETS)
                     total[names[k]] = total.get(names[k], 0) + got
+                    rows[names[k]] = rows.get(names[k], 0) + int((number[i:j] == k).sum())
         for name, n in total.items():
             some = np.flatnonzero(n)
-            yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(some), pa.string()), "bucket": pa.array(some.astype(np.int32)), "n": pa.array(n[some].astype(np.int64))})
+            bucket, n = np.append(some, ROWS).astype(np.int32), np.append(n[some], rows[name]).astype(np.int64)
+            yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(n), pa.string()), "bucket": pa.array(bucket), "n": pa.array(n)})
 
     return train.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """The languages and the log-probability of each bucket in each."""
+def train(docs: DataFrame, block_langs: int = BLOCK_LANGS) -> Iterator[Block]:
+    """The languages in blocks; none if nothing was learned. Only one block is held at a time."""
     bounded_batches(docs.sparkSession)
     rows = docs.filter(~held_out(docs) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = gram_counts(rows.select(F.lower("text").cast("binary").alias("text"), F.col("lang").cast("string").alias("lang")))
-    found = counts.limit(BUCKETS * MOST_LANGS + 1).toPandas()
-    langs = sorted(found["lang"].unique(), key=lambda x: x.encode())
-    if len(langs) > MOST_LANGS or len(found) > BUCKETS * MOST_LANGS:
-        raise ValueError(f"more than {MOST_LANGS} languages")
-    matrix = np.full((len(langs), BUCKETS), SMOOTHING)
-    for k, lang in enumerate(langs):
-        rows_of = found[found["lang"] == lang]
-        matrix[k, rows_of["bucket"].to_numpy()] += rows_of["n"].to_numpy()
-    return langs, np.log(matrix / matrix.sum(axis=1, keepdims=True)).astype(np.float32)
-
-
-def score(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
-    """``doc_id, lang_pred, score`` for every row; texts must come lower-cased as ``low``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    counts = stored(gram_counts(rows.select(F.lower("text").cast("binary").alias("text"), F.col("lang").cast("string").alias("lang"))), "language-counts")
+    # One narrow row a language.
+    n_rows = {r["lang"]: r["n"] for r in counts.filter(F.col("bucket") == ROWS).collect()}
+    langs, everything = sorted(n_rows, key=lambda x: x.encode()), sum(n_rows.values())
+    for start in range(0, len(langs), block_langs):
+        some = langs[start : start + block_langs]
+        matrix = np.full((len(some), BUCKETS), SMOOTHING)
+        wanted = counts.filter(F.col("bucket") != ROWS).filter(F.col("lang").isin(some))
+        # One row of two arrays a language, at most ``BUCKETS`` long.
+        packed = wanted.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("g")).select("lang", "g.bucket", "g.n")
+        place = {lang: k for k, lang in enumerate(some)}
+        for row in packed.toLocalIterator():
+            matrix[place[row["lang"]], np.array(row["bucket"])] += np.array(row["n"])
+        prior = np.log(np.array([n_rows[x] for x in some]) / everything)
+        yield Block(some, prior, np.log(matrix / matrix.sum(axis=1, keepdims=True)).astype(np.float32))
+
+
+def _advance(rows: DataFrame, block: Block) -> DataFrame:
+    """The rows with ``best``, ``top`` (its logit) and ``weight`` after one more block.
+
+    ``weight`` is the sum over all languages so far of their weights, that of ``best`` being 1.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(block)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, matrix = shared.value
+        langs, prior, matrix = shared.value
         for batch in batches:
-            for i, j, texts in slices(texts_of(batch.column(1))):
-                lettered = batch.column(2).slice(i, j - i).to_numpy(zero_copy_only=False).astype(bool)
+            for i, j, texts in slices(texts_of(batch.column("low"))):
+                part, rows = batch.slice(i, j - i), np.arange(j - i)
                 bucket, of = grams(texts)
                 n = np.bincount(of, minlength=j - i)
-                sums = np.array([np.bincount(of, weights=row[bucket], minlength=j - i) for row in matrix]).reshape(len(langs), j - i)
-                if len(langs):
-                    logit = SHARPNESS * sums / np.maximum(n, 1)
-                    weight = np.exp(logit - logit.max(axis=0))
-                    best = weight.argmax(axis=0)
-                    value = weight[best, np.arange(j - i)] / weight.sum(axis=0)
-                known = lettered & (len(langs) > 0)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(i, j - i), batch.column(3).slice(i, j - i),
-                        pa.array([langs[best[k]] if known[k] else "und" for k in range(j - i)], pa.string()),
-                        pa.array(np.where(known, value, 0.0) if len(langs) else np.zeros(j - i)),
-                    ],
-                    ["doc_id", "held_out", "lang_pred", "score"],
-                )
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
+                sums = np.array([np.bincount(of, weights=row[bucket], minlength=j - i) for row in matrix])
+                logit = sums * (np.minimum(n, EVIDENCE) / np.maximum(n, 1)) + prior[:, None]
+                first = logit.argmax(axis=0)
+                peak = logit[first, rows]
+                weight = np.exp(logit - peak).sum(axis=0)
+                best, top, old = (part.column(c) for c in ("best", "top", "weight"))
+                before = top.to_numpy(zero_copy_only=False)
+                # Blocks come in code point order, so an equal logit leaves the earlier language.
+                wins = peak > before
+                high = np.maximum(peak, before)
+                weight = weight * np.exp(peak - high) + old.to_numpy(zero_copy_only=False) * np.exp(before - high)
+                names = [langs[first[k]] if wins[k] else best[k].as_py() for k in rows]
+                done = {"best": pa.array(names, pa.string()), "top": pa.array(high), "weight": pa.array(weight)}
+                yield pa.RecordBatch.from_arrays([done.get(c, part.column(c)) for c in part.schema.names], part.schema.names)
+
+    return rows.mapInArrow(predict, rows.schema)
+
+
+def score(docs: DataFrame, model: Iterable[Block]) -> DataFrame:
+    """``doc_id, held_out, lang_pred, score`` for every row."""
     lettered = F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False))
-    rows = docs.select("doc_id", F.lower("text").cast("binary").alias("low"), lettered.alias("lettered"), held_out(docs).alias("held_out"))
-    return rows.mapInArrow(predict, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
-
-
-def report(docs: DataFrame) -> DataFrame:
-    return score(docs, train(docs))
+    rows = docs.select(
+        "doc_id", held_out(docs).alias("held_out"), F.when(lettered, F.lower("text")).cast("binary").alias("low"), lettered.alias("lettered"),
+        F.lit(None).cast("string").alias("best"), F.lit(float("-inf")).alias("top"), F.lit(0.0).alias("weight"),
+    )
+    for number, block in enumerate(model):
+        # With the first block scored and stored, its matrix is not needed beside the next one.
+        rows = _advance(stored(rows, "language-scores") if number else rows, block)
+    known = F.col("lettered") & F.col("best").isNotNull()
+    return rows.select(
+        "doc_id", "held_out", F.when(known, F.col("best")).otherwise("und").alias("lang_pred"), F.when(known, 1 / F.col("weight")).otherwise(0.0).alias("score")
+    )
+
+
+def report(docs: DataFrame, block_langs: int = BLOCK_LANGS) -> DataFrame:
+    return score(docs, train(docs, block_langs))

@@ -37,9 +37,10 @@ def test_language_id_agrees_with_plain_counting(spark):
     docs = spark.read.parquet(f"{TABLES}/documents.parquet")
     rows = [r for r in docs.select("doc_id", "text", "lang").collect() if r["doc_id"] is not None]
     held = {r["doc_id"]: zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 for r in rows}
-    counts = defaultdict(Counter)
+    counts, n_rows = defaultdict(Counter), Counter()
     for r in rows:
         if not held[r["doc_id"]] and r["lang"] is not None and r["text"] is not None:
+            n_rows[r["lang"]] += 1
             counts[r["lang"]].update(grams(r["text"].lower()))
     langs = sorted(counts)
     total = {k: sum(counts[k].values()) + language_id.SMOOTHING * language_id.BUCKETS for k in langs}
@@ -52,12 +53,18 @@ def test_language_id_agrees_with_plain_counting(spark):
             assert found["lang_pred"] == "und"
             continue
         mean = {k: sum(math.log((counts[k][g] + language_id.SMOOTHING) / total[k]) for g in of) / max(len(of), 1) for k in langs}
-        weight = {k: math.exp(language_id.SHARPNESS * (mean[k] - max(mean.values()))) for k in langs}
+        logit = {k: min(len(of), language_id.EVIDENCE) * mean[k] + math.log(n_rows[k] / sum(n_rows.values())) for k in langs}
+        weight = {k: math.exp(logit[k] - max(logit.values())) for k in langs}
         assert found["lang_pred"] == max(langs, key=weight.get)
         assert found["score"] == pytest.approx(max(weight.values()) / sum(weight.values()), abs=1e-3)
         if held[r["doc_id"]] and r["lang"] is not None:
             right.append(found["lang_pred"] == r["lang"])
     assert len(right) > 20 and sum(right) >= 0.95 * len(right)
+    # Languages in blocks of one give the same answers.
+    for r in language_id.report(docs, block_langs=1).collect():
+        if r["doc_id"] is not None:
+            assert r["lang_pred"] == got[r["doc_id"]]["lang_pred"]
+            assert r["score"] == pytest.approx(got[r["doc_id"]]["score"], abs=1e-6)
 
 
 def secrets(rng):
