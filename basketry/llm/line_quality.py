@@ -3,7 +3,8 @@
 An Arrow function measures each whole text and hashes its normalised lines (words lower-cased,
 white space collapsed). Spark counts, for each host (``source``), the distinct documents that hold
 a line; exact copies are one document there. Lines held by more than ``share`` of the host's
-documents, and by ``min_docs`` at least, are boilerplate. A document left with less than
+documents, and by ``min_docs`` at least, are boilerplate; so are those of more than ``max_docs``
+documents of the host, however small a share of a very large host that is. A document left with less than
 ``min_left`` of its words without them is depleted and rejected. Counting is over all documents:
 pairs of line and document are made distinct over their own key first, so a line that a third of
 the corpus holds meets no single task.
@@ -27,6 +28,7 @@ from basketry.llm.textual import NOT_SPACE, Texts, grouped, hashes, lists, lower
 
 SHARE = 0.1
 MIN_DOCS = 10
+MAX_DOCS = 10_000
 MIN_LEFT = 0.5
 MIN_WORDS = 50
 
@@ -95,13 +97,15 @@ def measured(docs: DataFrame) -> DataFrame:
     )
 
 
-def verdicts(docs: DataFrame, share: float = SHARE, min_docs: int = MIN_DOCS, min_left: float = MIN_LEFT, min_words: int = MIN_WORDS) -> DataFrame:
+def verdicts(
+    docs: DataFrame, share: float = SHARE, min_docs: int = MIN_DOCS, min_left: float = MIN_LEFT, min_words: int = MIN_WORDS, max_docs: int = MAX_DOCS
+) -> DataFrame:
     """The measures with ``base_failed``, ``n_cut_words``, ``cut`` (places of lines), ``kept``."""
     rows = stored(measured(docs), "line-measures")
     lines = rows.select("doc_id", "source", "text_hash", F.explode("lines").alias("line")).select("doc_id", "source", "text_hash", "line.*")
     held = lines.groupBy("source", "hash", "text_hash").agg(F.lit(1).alias("one")).groupBy("source", "hash").agg(F.count("*").alias("n"))
     hosts = rows.groupBy("source", "text_hash").agg(F.lit(1).alias("one")).groupBy("source").agg(F.count("*").alias("n_docs"))
-    often = held.filter(F.col("n") >= min_docs).alias("a").join(hosts.alias("b"), F.expr("a.source <=> b.source")).filter(F.col("n") > share * F.col("n_docs"))
+    often = held.filter(F.col("n") >= min_docs).alias("a").join(hosts.alias("b"), F.expr("a.source <=> b.source")).filter((F.col("n") > share * F.col("n_docs")) | (F.col("n") > max_docs))
     often = often.select(F.col("a.source").alias("o_source"), F.col("hash").alias("o_hash"))
     cut = lines.join(often, F.expr("source <=> o_source AND hash = o_hash")).groupBy("doc_id", "source", "text_hash").agg(F.collect_set(F.struct("place", "words")).alias("gone"))
     cut = cut.withColumnsRenamed({c: f"c_{c}" for c in ("doc_id", "source", "text_hash")})

@@ -58,7 +58,7 @@ def quality(docs: str) -> str:
       SELECT doc_id, count(*) FILTER (has_word) - count(DISTINCT line) FILTER (has_word) AS n_dup_lines,
              sum(CASE WHEN often THEN len({words('line')}) ELSE 0 END)::BIGINT AS n_cut_words,
              coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT often), '') AS left_text
-      FROM (SELECT x.*, x.key <> '' AND coalesce(f.n >= {line_quality.MIN_DOCS} AND f.n > {line_quality.SHARE} * h.n, false) AS often
+      FROM (SELECT x.*, x.key <> '' AND coalesce(f.n >= {line_quality.MIN_DOCS} AND f.n > least({line_quality.SHARE} * h.n, {line_quality.MAX_DOCS}), false) AS often
             FROM (SELECT *, line <> '' AND len({words('line')}) > 0 AS has_word,
                          trim(regexp_replace({lower('line')}, {space}, ' ', 'g'), ' ') AS key
                   FROM (SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,

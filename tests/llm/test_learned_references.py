@@ -113,3 +113,18 @@ def test_depleted_documents_are_rejected(spark):
     assert {i for i, r in got.items() if r["n_cut_words"]} == {200 + i for i in range(14)} | {300, 301}
     left = {r["doc_id"]: r["text"] for r in line_quality.clean(frame).collect()}
     assert left[400] == docs[-2][1] and left[301] == body(301, 40) and left[205] == body(205, 70) and 300 not in left
+
+
+def test_an_absolute_limit_depletes_documents_of_a_large_host(spark):
+    def body(i, n):
+        return " ".join(f"w{i}x{j}" for j in range(n))
+
+    # The notice is in 20 of 400 documents of the host, far below a tenth; each has a text of its own.
+    notice = " ".join(f"notice{j}" for j in range(40))
+    docs = [(i, body(i, 60), "host") for i in range(380)] + [(500 + i, f"{notice}\n{body(500 + i, 30 if i % 2 else 45)}", "host") for i in range(20)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    rejected = lambda **limits: {r["doc_id"] for r in line_quality.report(frame, **limits).collect() if not r["kept"]}
+    assert rejected() == rejected(max_docs=20) == set()
+    assert rejected(max_docs=19) == {500 + i for i in range(1, 20, 2)}
+    left = {r["doc_id"]: r["text"] for r in line_quality.clean(frame, max_docs=19).collect()}
+    assert left[500] == body(500, 45) and 501 not in left and left[7] == body(7, 60)
