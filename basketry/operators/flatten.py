@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,12 +69,14 @@ def flatten(
     items: str = "all",
     missing: str | None = None,
     keep_json: bool = True,
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """RAW rows of one entity (or document schema) from envelopes ``(json_data, event_time[, doc])``.
 
     ``items="all"`` also keeps the whole item list next to the first-item columns, and every list
     of texts as ``<name>_list`` next to its joined form, so nothing of a document is lost and RAW
-    stays one row per document. ``missing=""`` writes blanks for NULL.
+    stays one row per document. ``missing=""`` writes blanks for NULL; ``also`` names columns of the
+    envelopes to carry along.
     """
     schema = text_schema(shape) if isinstance(shape, str) else shape
     if "doc" not in envelopes.columns:
@@ -86,7 +90,7 @@ def flatten(
         lists += [F.col(f"doc.{name}") for name in object_lists(schema)]
         lists += [F.col(f"doc.{name}").alias(f"{name}_list") for name in text_lists(schema)]
     service = [F.col("json_data")] if keep_json else []
-    return envelopes.select(*service, F.col(VERSION), *leaves, *lists)
+    return envelopes.select(*service, F.col(VERSION), *leaves, *lists, *also)
 
 
 def explode_items(df: DataFrame, array: str = "items", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -37,13 +37,19 @@ def stream_raw_append(t: Source) -> DataFrame:
     )
 
 
+# Packed envelopes of a micro-batch; what a batch stores and shuffles is bounded with it.
+BATCH_BYTES = 256 * 1024 * 1024
+
+
 def _purchases_by_stream(t: Source, *turns: Sequence[str]) -> DataFrame:
-    """The purchases after the envelopes of some entities came in one batch, then the next ones'."""
+    """The purchases after the envelopes of some entities came, in batches, then the next ones'."""
     base = scratch_dir(t.spark, "stream-marts")
     for entities in turns:
         for entity in entities:
             write_envelopes(retail.envelopes(t, entity), f"{base}/in")
-        sent = read_envelopes(t.spark, f"{base}/in", streaming=True)
+        sent = read_envelopes(
+            t.spark, f"{base}/in", streaming=True, max_bytes=BATCH_BYTES, consume=True
+        )
         run_available(stream_marts(sent, f"{base}/marts", f"{base}/checkpoint"))
     streets = read_mart(t.spark, f"{base}/marts", "addresses").select(
         F.col("address_id").alias("delivery_address_id"),

@@ -45,7 +45,16 @@ def append(rows: DataFrame, path: str, batch_id: int, by: Sequence[str]) -> None
     if not files.exists(spark, f"{path}/{_SCHEMA}"):
         files.write_text(spark, f"{path}/{_SCHEMA}", rows.schema.json())
     dealt = rows.withColumn(BUCKET, bucket_of(by)).hint("rebalance", F.col(BUCKET))
-    dealt.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/{BATCH}={batch_id}")
+    dealt.write.mode("overwrite").partitionBy(BUCKET).parquet(_folder(path, batch_id, batch_id), compression="zstd")
+
+
+def skip(spark: SparkSession, path: str, batch_id: int) -> bool:
+    """Stand in for appending no rows: a replayed batch leaves none of its folder. False where the
+    table is not known yet and needs the empty rows for its columns."""
+    known = files.exists(spark, f"{path}/{_SCHEMA}")
+    if known:
+        files.delete(spark, _folder(path, batch_id, batch_id))
+    return known
 
 
 def spans(spark: SparkSession, path: str) -> list[tuple[int, int]]:
@@ -101,7 +110,7 @@ def compact_log(spark: SparkSession, path: str, before: int, keys: Sequence[str]
         draft, whole = f"{path}/_draft", _folder(path, run[0][0], run[-1][1])
         files.delete(spark, draft)
         dealt = rows.withColumn(BUCKET, bucket_of(by)).hint("rebalance", F.col(BUCKET))
-        dealt.write.mode("overwrite").partitionBy(BUCKET).parquet(draft)
+        dealt.write.mode("overwrite").partitionBy(BUCKET).parquet(draft, compression="zstd")
         files.move(spark, draft, whole)
         for s in run:
             files.delete(spark, _folder(path, *s))

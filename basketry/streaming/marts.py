@@ -26,12 +26,26 @@ from basketry.operators.retention import retain
 from basketry.plans import marts as build
 from basketry.plans.daily import FACTS, STEPS, WAITING
 from basketry.schemas import BUCKET_KEYS, ENTITIES, FACT_DAYS, MART_KEYS, VERSION
-from basketry.sources.envelopes import split_valid
+from basketry.sources.envelopes import judge
 from basketry.sources.tables import write_table
-from basketry.streaming.log import BATCH, append, compact_log, read_log, touched
+from basketry.streaming.log import BATCH, append, compact_log, read_log, skip, touched
 
 PLACE = BUCKET_KEYS["addresses"]
 WAITING_PLACE = tuple(f"to_{c}" for c in PLACE)
+# The entities that bring rows to a mart, by themselves or by calling rows that wait.
+FED_BY = {
+    "addresses": ("customers", "stores"),
+    "categories": ("products",),
+    "manufacturers": ("products",),
+    "store_networks": ("stores",),
+    "store_managers": ("stores",),
+    "dim_customers": ("customers",),
+    "dim_products": ("products",),
+    "dim_stores": ("stores",),
+    "store_categories": ("stores",),
+    "fact_purchases": ("purchases", "customers", "stores"),
+    "fact_purchase_items": ("purchases",),
+}
 
 
 def _buckets(table: str) -> tuple[str, ...]:
@@ -97,7 +111,8 @@ def build_batch(base: str, items: str = "all") -> Callable[[DataFrame, int], Non
     """A ``foreachBatch`` function: transforms one batch of envelopes and appends to every mart.
 
     References are written before the dimensions and facts that look them up, so rows meet
-    what earlier batches or this one brought.
+    what earlier batches or this one brought. Every text is parsed once and only the flat rows are
+    stored for the time of the batch; marts that none of its entities feeds are left alone.
     """
 
     def build_one(batch: DataFrame, batch_id: int) -> None:
@@ -109,17 +124,26 @@ def build_batch(base: str, items: str = "all") -> Callable[[DataFrame, int], Non
             return kept[-1]
 
         try:
+            # Shuffle files of the batch before go once the driver has collected its plans.
+            spark._jvm.java.lang.System.gc()
             _compact_all(spark, base, batch_id)
-            sent, raw = keep(batch), {}
+            came = {r[0] for r in batch.select("topic").distinct().collect()}
+            raw = {}
             for entity in ENTITIES:
-                good, bad = split_valid(sent.filter(F.col("topic") == entity), entity)
-                raw[entity] = keep(flatten(good, entity, keep_json=False))
+                sent = batch.filter(F.col("topic") == entity) if entity in came else batch.limit(0)
+                unread = F.when(F.col("reason").isNotNull(), F.col("json_data"))
+                judged = judge(sent, entity).withColumn("json_data", unread)
+                flat = keep(flatten(judged, entity, also=("reason",)))
+                raw[entity] = flat.filter(F.col("reason").isNull()).drop("json_data", "reason")
+                bad = flat.filter(F.col("reason").isNotNull())
                 folder = f"{base}/quarantine/topic={entity}/{BATCH}={batch_id}"
-                bad.write.mode("overwrite").parquet(folder)
+                bad.select("json_data", VERSION, "reason").write.mode("overwrite").parquet(folder)
             # Addresses grow with the customers, so they are looked up by the batch's places.
             places = keep(build.places(raw["customers"], raw["stores"], raw["purchases"]))
             current = _Current(spark, base, {"addresses": places})
             for name, step in STEPS:
+                if came.isdisjoint(FED_BY[name]) and skip(spark, f"{base}/{name}", batch_id):
+                    continue
                 if name == "fact_purchases":
                     placed = keep(_purchases(raw, current["addresses"], base))
                     append(build.unplaced(placed), f"{base}/{WAITING}", batch_id, WAITING_PLACE)
