@@ -331,6 +331,13 @@ def store_categories(stores: DataFrame, categories: DataFrame) -> DataFrame:
     )
 
 
+# What of a purchase document its row is made of.
+PURCHASE_FIELDS = (
+    "purchase_id", "customer.customer_id", "store.store_id", "total_amount", "payment_method",
+    "is_delivery", "delivery_address", "purchase_datetime",
+)
+
+
 def typed_purchases(purchases: DataFrame) -> DataFrame:
     place = "delivery_address"
     return purchases.select(
@@ -354,8 +361,8 @@ PURCHASE_PLACE = {f"to_{p}": p for p in (*PLACE, "apartment", "postal_code")}
 
 def purchase_rows(purchases: DataFrame) -> DataFrame:
     """Valid purchases, newest row per key, with the parts of their delivery address attached."""
-    valid, _ = split_valid_rows(typed_purchases(purchases), REQUIRED_PURCHASE)
-    return _newest(valid, "fact_purchases")
+    typed = typed_purchases(purchases)
+    return latest_by_key(typed, MART_KEYS["fact_purchases"], required=REQUIRED_PURCHASE)
 
 
 def place_purchases(rows: DataFrame, addresses: DataFrame) -> DataFrame:

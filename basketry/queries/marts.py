@@ -300,7 +300,7 @@ def shown_purchases(facts: DataFrame, streets: DataFrame) -> DataFrame:
 @query("mart_fact_purchases", FACT_PURCHASES)
 def mart_fact_purchases(t: Source) -> DataFrame:
     addresses = _stored(t, _addresses(t))
-    facts = build.fact_purchases(retail.raw(t, "purchases"), addresses)
+    facts = build.fact_purchases(retail.raw(t, "purchases", build.PURCHASE_FIELDS), addresses)
     return shown_purchases(facts, _streets(addresses, "delivery_address_id", "delivery_street"))
 
 

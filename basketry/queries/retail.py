@@ -8,12 +8,15 @@ arrive in one run.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.operators.flatten import flatten
 from basketry.operators.masking import mask_topic
 from basketry.queries.registry import Source
+from basketry.schemas import only, text_schema
 from basketry.sources.envelopes import split_valid, to_envelope
 
 RUN = "2024-02-01 07:00:00"
@@ -200,7 +203,12 @@ def envelopes(t: Source, entity: str) -> DataFrame:
     )
 
 
-def raw(t: Source, entity: str) -> DataFrame:
-    """RAW rows: the documents masked, put into envelopes, parsed and flattened."""
-    good, _ = split_valid(envelopes(t, entity), entity)
-    return flatten(good, entity, keep_json=False)
+def raw(t: Source, entity: str, fields: Sequence[str] = ()) -> DataFrame:
+    """RAW rows: the documents masked, put into envelopes, parsed and flattened.
+
+    With ``fields`` the columns of these parts of the documents only. A scan of stored RAW leaves
+    unread columns out by itself; a parser has to be told.
+    """
+    shape = only(text_schema(entity), fields) if fields else entity
+    good, _ = split_valid(envelopes(t, entity), shape)
+    return flatten(good, shape, keep_json=False)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import types as T
 
 # Document fields as the sources deliver them.
@@ -90,6 +92,29 @@ def text_schema(entity: str) -> T.StructType:
     return _as_text(document_schema(entity))
 
 
+def only(schema: T.StructType, paths: Iterable[str]) -> T.StructType:
+    """The schema with the named fields alone, each with all that is below it.
+
+    A parser given it still reads every text to its end, but builds no values that are not used.
+    """
+    wanted: dict[str, list[str]] = {}
+    for path in paths:
+        name, _, rest = path.partition(".")
+        wanted.setdefault(name, []).append(rest)
+    if unknown := wanted.keys() - set(schema.names):
+        raise ValueError(f"no such fields: {sorted(unknown)}")
+    kept = []
+    for field in schema:
+        if field.name in wanted:
+            below, kind = wanted[field.name], field.dataType
+            if "" not in below:
+                many = isinstance(kind, T.ArrayType)
+                kind = only(kind.elementType if many else kind, below)
+                kind = T.ArrayType(kind) if many else kind
+            kept.append(T.StructField(field.name, kind))
+    return T.StructType(kept)
+
+
 def _as_text(kind: T.DataType) -> T.DataType:
     if isinstance(kind, T.StructType):
         return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in kind])
