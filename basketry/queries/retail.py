@@ -15,11 +15,19 @@ from pyspark.sql import functions as F
 
 from basketry.operators.flatten import flatten
 from basketry.operators.masking import mask_topic
-from basketry.queries.registry import Source
+from basketry.queries.registry import Slice, Source
 from basketry.schemas import only, text_schema
 from basketry.sources.envelopes import split_valid, to_envelope
 
 RUN = "2024-02-01 07:00:00"
+# The tables that are dealt to slices of an entity's documents, and by which keys. The first one has
+# a row for each document.
+_DEALT = {
+    "products": {"part": "p_partkey"},
+    "stores": {"supplier": "s_suppkey"},
+    "customers": {"customer": "c_custkey"},
+    "purchases": {"lineitem": "l_orderkey", "orders": "o_orderkey"},
+}
 
 
 def _text(*parts: Column | str) -> Column:
@@ -185,6 +193,14 @@ def purchases(t: Source) -> DataFrame:
     )
 
 
+def slices(t: Source, entity: str, rows: int, most: int) -> list[Source]:
+    """The tables in slices that each give about ``rows`` of the entity's documents; as every slice
+    reads the tables again, ``most`` slices of more where there are too many."""
+    dealt = _DEALT[entity]
+    n = min(most, -(-getattr(t, next(iter(dealt))).count() // rows))
+    return [Slice(t, dealt, k, n) for k in range(n)] if n > 1 else [t]
+
+
 def envelopes(t: Source, entity: str) -> DataFrame:
     docs = {
         "products": products,

@@ -13,7 +13,8 @@ from basketry.queries.registry import Source, query
 from basketry.schemas import ENTITIES
 from basketry.session import scratch_dir
 from basketry.sources.envelopes import read_envelopes, write_envelopes
-from basketry.streaming.marts import read_mart, stream_marts
+from basketry.streaming.log import release
+from basketry.streaming.marts import read_mart, settle, stream_marts
 from basketry.streaming.raw import dedup_stream, run_available, stream_raw
 
 
@@ -39,23 +40,31 @@ def stream_raw_append(t: Source) -> DataFrame:
 
 # Packed envelopes of a micro-batch; what a batch stores and shuffles is bounded with it.
 BATCH_BYTES = 256 * 1024 * 1024
+# Envelopes are sent in slices, the next once the one before is consumed: so many documents, but
+# no more than so many slices.
+SLICE_ROWS, SLICES = 2_000_000, 16
 
 
 def _purchases_by_stream(t: Source, *turns: Sequence[str]) -> DataFrame:
     """The purchases after the envelopes of some entities came, in batches, then the next ones'."""
     base = scratch_dir(t.spark, "stream-marts")
     for entities in turns:
-        for entity in entities:
-            write_envelopes(retail.envelopes(t, entity), f"{base}/in")
-        sent = read_envelopes(
-            t.spark, f"{base}/in", streaming=True, max_bytes=BATCH_BYTES, consume=True
-        )
-        run_available(stream_marts(sent, f"{base}/marts", f"{base}/checkpoint"))
+        sliced = {e: retail.slices(t, e, SLICE_ROWS, SLICES) for e in entities}
+        for k in range(max(map(len, sliced.values()))):
+            for entity, own in sliced.items():
+                if k < len(own):
+                    write_envelopes(retail.envelopes(own[k], entity), f"{base}/in")
+            sent = read_envelopes(
+                t.spark, f"{base}/in", streaming=True, max_bytes=BATCH_BYTES, consume=True
+            )
+            run_available(stream_marts(sent, f"{base}/marts", f"{base}/checkpoint"))
+            release(t.spark)
+    facts = settle(t.spark, f"{base}/marts", "fact_purchases", f"{base}/current/fact_purchases")
     streets = read_mart(t.spark, f"{base}/marts", "addresses").select(
         F.col("address_id").alias("delivery_address_id"),
         F.col("street").alias("delivery_street"),
     )
-    return shown_purchases(read_mart(t.spark, f"{base}/marts", "fact_purchases"), streets)
+    return shown_purchases(facts, streets)
 
 
 @query("stream_marts", FACT_PURCHASES)

@@ -21,6 +21,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    fs, at = _at(spark, path)
+    return fs.getContentSummary(at).getLength()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, at = _at(spark, path)
     fs.delete(at, True)

@@ -4,12 +4,14 @@ A batch writes its rows under ``batch_id=<n>``, in a folder for each bucket; a r
 replaces its own folder. Whenever ``FAN_IN`` neighbours of a tier have come together they are merged
 into one folder of the next, ``batch_id=<first>-<last>``, so a log is read from a number of folders
 that grows with the logarithm of the batches, and a reader that knows its keys opens their buckets
-only. The merged folder is complete before the ones it stands for go. A reader that meets both, or
+only. Merging and reading whole logs go by shares of buckets, so that what they shuffle at a time
+is bounded, too. The merged folder is complete before the ones it stands for go. A reader that meets both, or
 a run that dies between, sees some rows twice, which the newest row per key does not mind.
 """
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 from collections.abc import Callable, Sequence
@@ -26,6 +28,8 @@ BATCH = "batch_id"
 BUCKET = "bucket"
 BUCKETS = 16
 FAN_IN = 8
+# Stored bytes of the buckets that are merged or looked through at a time.
+SHARE_BYTES = 64 * 1024 * 1024
 _SCHEMA = "_schema.json"
 
 
@@ -39,13 +43,26 @@ def touched(keys: DataFrame, cols: Sequence[str]) -> list[int]:
     return [r[0] for r in keys.select(bucket_of(cols)).distinct().collect()]
 
 
-def append(rows: DataFrame, path: str, batch_id: int, by: Sequence[str]) -> None:
-    """The rows of one batch, brought together by bucket; large buckets split into even files."""
+def release(spark: SparkSession) -> None:
+    """Have shuffle files deleted that only dead plans name: they go once the driver has collected those."""
+    gc.collect()
+    spark._jvm.java.lang.System.gc()
+
+
+def _write(rows: DataFrame, folder: str, by: Sequence[str], mode: str) -> None:
+    dealt = rows.withColumn(BUCKET, bucket_of(by)).hint("rebalance", F.col(BUCKET))
+    dealt.write.mode(mode).partitionBy(BUCKET).parquet(folder, compression="zstd")
+
+
+def append(rows: DataFrame, path: str, batch_id: int, by: Sequence[str], more: bool = False) -> None:
+    """The rows of one batch, brought together by bucket; large buckets split into even files.
+
+    With ``more`` they come to those that the batch has appended before.
+    """
     spark = rows.sparkSession
     if not files.exists(spark, f"{path}/{_SCHEMA}"):
         files.write_text(spark, f"{path}/{_SCHEMA}", rows.schema.json())
-    dealt = rows.withColumn(BUCKET, bucket_of(by)).hint("rebalance", F.col(BUCKET))
-    dealt.write.mode("overwrite").partitionBy(BUCKET).parquet(_folder(path, batch_id, batch_id), compression="zstd")
+    _write(rows, _folder(path, batch_id, batch_id), by, "append" if more else "overwrite")
 
 
 def skip(spark: SparkSession, path: str, batch_id: int) -> bool:
@@ -86,9 +103,33 @@ def read_log(spark: SparkSession, path: str, buckets: Sequence[int] | None = Non
     return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
 
 
+def shares(spark: SparkSession, path: str, buckets: Sequence[int] | None = None, within: Sequence[tuple[int, int]] | None = None) -> list[list[int]]:
+    """The stored ones of the buckets, in shares of ``SHARE_BYTES`` at most or of a single bucket.
+    There is one share at least."""
+    stored = {b: 0 for b in range(BUCKETS)}
+    for folder in (_folder(path, *x) for x in (spans(spark, path) if within is None else within)):
+        for name in files.names(spark, folder):
+            if m := re.fullmatch(rf"{BUCKET}=(\d+)", name):
+                stored[int(m[1])] += files.size(spark, f"{folder}/{name}")
+    dealt: list[list[int]] = [[]]
+    room = SHARE_BYTES
+    for b, size in stored.items():
+        if size and (buckets is None or b in buckets):
+            if dealt[-1] and size > room:
+                dealt.append([])
+                room = SHARE_BYTES
+            dealt[-1].append(b)
+            room -= size
+    return dealt
+
+
 def compact_log(spark: SparkSession, path: str, before: int, keys: Sequence[str], by: Sequence[str], version: str = VERSION, fan_in: int = FAN_IN, keep: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Merge neighbours of the batches before ``before`` (which may still be replayed), as often
-    as a tier is full: newest row per key, only those that ``keep`` lets through."""
+    as a tier is full: newest row per key, only those that ``keep`` lets through.
+
+    Shares of buckets are merged one after another. Where ``by`` has columns beyond ``keys``, a key
+    may thus keep a row in each of its buckets, which the newest row per key does not mind either.
+    """
 
     def tier(span: tuple[int, int]) -> int:
         width, level = span[1] - span[0] + 1, 0
@@ -105,12 +146,15 @@ def compact_log(spark: SparkSession, path: str, before: int, keys: Sequence[str]
                 break
         if len(run) < fan_in:
             return
-        rows = latest_by_key(read_log(spark, path, within=run), keys, version)
-        rows = keep(rows) if keep else rows
         draft, whole = f"{path}/_draft", _folder(path, run[0][0], run[-1][1])
         files.delete(spark, draft)
-        dealt = rows.withColumn(BUCKET, bucket_of(by)).hint("rebalance", F.col(BUCKET))
-        dealt.write.mode("overwrite").partitionBy(BUCKET).parquet(draft, compression="zstd")
+        dealt = shares(spark, path, within=run)
+        for own in dealt:
+            rows = latest_by_key(read_log(spark, path, own, run), keys, version)
+            _write(keep(rows) if keep else rows, draft, by, "append")
+            if len(dealt) > 1:
+                del rows
+                release(spark)
         files.move(spark, draft, whole)
         for s in run:
             files.delete(spark, _folder(path, *s))

@@ -7,12 +7,13 @@ cost of a micro-batch follows the batch and what it looks up, not the size or th
 
 Purchases whose address no one has sent so far wait in a log of their own, in buckets of their
 place. A batch that brings addresses calls the purchases waiting for them, which are then built
-again with the key of their address: purchases may come before addresses.
+again with the key of their address: purchases may come before addresses. However many wait, they
+are called by shares of these buckets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +29,17 @@ from basketry.plans.daily import FACTS, STEPS, WAITING
 from basketry.schemas import BUCKET_KEYS, ENTITIES, FACT_DAYS, MART_KEYS, VERSION
 from basketry.sources.envelopes import judge
 from basketry.sources.tables import write_table
-from basketry.streaming.log import BATCH, append, compact_log, read_log, skip, touched
+from basketry.streaming.log import (
+    BATCH,
+    append,
+    bucket_of,
+    compact_log,
+    read_log,
+    release,
+    shares,
+    skip,
+    touched,
+)
 
 PLACE = BUCKET_KEYS["addresses"]
 WAITING_PLACE = tuple(f"to_{c}" for c in PLACE)
@@ -82,15 +93,28 @@ def compact(
     return spark.read.parquet(out)
 
 
-def _purchases(raw: Mapping[str, DataFrame], addresses: DataFrame, base: str) -> DataFrame:
-    """The batch's purchases, and those waiting for an address that the batch brings."""
-    rows = build.purchase_rows(raw["purchases"])
-    brought = build.addresses(raw["customers"], raw["stores"])
-    waiting = read_log(rows.sparkSession, f"{base}/{WAITING}", touched(brought, PLACE))
-    if waiting is not None:
-        called = build.called(waiting, brought)
-        rows = latest_by_key(rows.unionByName(called), MART_KEYS["fact_purchases"])
-    return build.place_purchases(rows, addresses)
+def settle(spark: SparkSession, base: str, table: str, out: str) -> DataFrame:
+    """Write the current rows to ``out``, one share of the buckets after another."""
+    path = f"{base}/{table}"
+    for own in shares(spark, path):
+        rows = latest_by_key(read_log(spark, path, own), MART_KEYS[table])
+        shape = rows.schema
+        rows.write.mode("append").parquet(out, compression="zstd")
+        del rows
+        release(spark)
+    return spark.read.schema(shape).parquet(out)
+
+
+def _called(spark: SparkSession, base: str, brought: DataFrame) -> Iterator[DataFrame]:
+    """Purchases that wait for one of these addresses, with its key, a share of them at a time."""
+    path = f"{base}/{WAITING}"
+    for own in shares(spark, path, touched(brought, PLACE)):
+        waiting = read_log(spark, path, own)
+        if waiting is not None and own:
+            near = brought.filter(bucket_of(PLACE).isin(own))
+            addresses = read_mart(spark, base, "addresses", near.select(*PLACE).distinct())
+            yield build.place_purchases(build.called(waiting, near), addresses)
+            release(spark)
 
 
 def _compact_all(spark: SparkSession, base: str, batch_id: int) -> None:
@@ -124,8 +148,7 @@ def build_batch(base: str, items: str = "all") -> Callable[[DataFrame, int], Non
             return kept[-1]
 
         try:
-            # Shuffle files of the batch before go once the driver has collected its plans.
-            spark._jvm.java.lang.System.gc()
+            release(spark)
             _compact_all(spark, base, batch_id)
             came = {r[0] for r in batch.select("topic").distinct().collect()}
             raw = {}
@@ -145,12 +168,19 @@ def build_batch(base: str, items: str = "all") -> Callable[[DataFrame, int], Non
                 if came.isdisjoint(FED_BY[name]) and skip(spark, f"{base}/{name}", batch_id):
                     continue
                 if name == "fact_purchases":
-                    placed = keep(_purchases(raw, current["addresses"], base))
+                    rows = build.purchase_rows(raw["purchases"])
+                    placed = keep(build.place_purchases(rows, current["addresses"]))
                     append(build.unplaced(placed), f"{base}/{WAITING}", batch_id, WAITING_PLACE)
                     rows = build.placed_facts(placed)
                 else:
                     rows = step(raw, current, items)
                 append(rows, f"{base}/{name}", batch_id, _buckets(name))
+                if name == "fact_purchases" and not came.isdisjoint(FED_BY["addresses"]):
+                    brought = keep(build.addresses(raw["customers"], raw["stores"]))
+                    for called in _called(spark, base, brought):
+                        facts = build.placed_facts(called)
+                        append(facts, f"{base}/{name}", batch_id, _buckets(name), more=True)
+                        del called, facts
         finally:
             for df in kept:
                 df.unpersist()
