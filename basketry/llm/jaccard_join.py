@@ -21,7 +21,9 @@
    last step does, at their first shared n-gram, and verifies each. Near copies then cost their square.
 
 Groups are never gathered: per-group facts are pre-aggregated, joins on hot n-grams are split by
-adaptive execution, and a node with many partners is verified in salted blocks.
+adaptive execution, and a node with many partners is verified in salted blocks. Sets are sent to the
+blocks in turns, each with a scan of the texts instead of a shuffle of them, so that a share of the sets
+lies there at a time. Tables and shuffles go as soon as no later step reads them.
 
 Defined cases: null or empty text is an empty set, linked with nothing and its own component; rows
 with equal texts are linked whatever their ids; rows without doc_id are linked like others but lend
@@ -32,6 +34,7 @@ gives an empty result. Only ``doc_id`` and ``text`` are read.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -39,8 +42,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.frames import bounded_batches, small, stored, text_key
+from basketry.llm.frames import bounded_batches, discard, small, stored, text_key
 from basketry.llm.textual import Texts, grouped, lists, lowered, mixed, ranges, slices, texts_of, windows, words
+from basketry.streaming.log import release
 
 SHINGLE = 3
 PERCENT = 90
@@ -54,6 +58,9 @@ TRIES = 2  # of these, the nearest by histogram and as many by hash that a node
 BEFORE = 8  # earlier n-grams of open groups by which a repeated pair is told
 BLOCK = 500  # partners verified against one node by one task
 BROADCAST_ROWS = 1_000_000  # rows of three numbers, 24 MB; more are joined by sorting
+# Prefixes and sets are shuffled in up to so many turns, of so many bytes and rows each where these turns suffice.
+TURNS, TURN_BYTES, TURN_ROWS = 8, 256 << 20, BROADCAST_ROWS // 2
+PREFIX_BYTES = 32  # of a prefix n-gram and its node, shuffled twice
 
 
 def shingles(texts: Texts, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -160,6 +167,20 @@ def positional(na: Column, nb: Column, i: Column, j: Column, percent: int) -> Co
     return length & ((100 + percent) * most >= percent * (na + nb))
 
 
+def turns_of(size: int, rows: int = 0) -> int:
+    """In how many turns so many bytes and rows are shuffled."""
+    return min(TURNS, max(1, -(-size // TURN_BYTES), -(-rows // TURN_ROWS)))
+
+
+def together(parts: list[DataFrame], label: str) -> DataFrame:
+    """Stored frames as one."""
+    if len(parts) == 1:
+        return parts[0]
+    whole = stored(reduce(DataFrame.unionByName, parts), label)
+    discard(*parts)
+    return whole
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, comp``: the least node reachable, for every node with an edge.
 
@@ -167,6 +188,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
     label = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("comp")), "labels")
+    read = [both, label]
     while True:
         near = both.join(label, both["b"] == label["node"]).groupBy("a").agg(F.min("comp").alias("near"))
         hooked = label.join(near, label["node"] == near["a"]).select("node", F.least("comp", "near").alias("new"), F.col("comp").alias("old"))
@@ -175,7 +197,9 @@ def components(edges: DataFrame) -> DataFrame:
         following = stored(jumped, "labels")
         label = following.select("node", "comp")
         if following.filter("comp <> old").isEmpty():
+            discard(*read)
             return label
+        read.append(following)
 
 
 class Join:
@@ -184,23 +208,36 @@ class Join:
     def __init__(self, docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, order_size: int = ORDER_SIZE):
         bounded_batches(docs.sparkSession)
         self.docs, self.k, self.percent = docs, k, percent
-        self.rows = stored(signatures(docs, k, percent, frequent(docs, k, order_size)), "signatures")
+        signed = stored(signatures(docs, k, percent, frequent(docs, k, order_size)), "signatures")
         # One row names the node and lends its text: that of the least id, one without id only where there is no other.
         order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
         one = F.min_by(F.struct(F.col("doc_id").alias("least_id"), "text_hash", "prefix", "bins"), order)
-        nodes = self.rows.filter("n > 0").groupBy("sig", "check", "n").agg(one.alias("one"), F.count("*").alias("copies"))
+        nodes = signed.filter("n > 0").groupBy("sig", "check", "n").agg(one.alias("one"), F.count("*").alias("copies"))
         nodes = nodes.select("sig", "check", "n", "copies", "one.*").withColumn("node", F.monotonically_increasing_id())
         self.nodes = stored(nodes, "nodes")
+        self.rows = stored(signed.select("doc_id", "text_hash", "n", "sig", "check"), "rows")
+        discard(signed)
 
     def held(self) -> DataFrame:
-        """A row for each prefix n-gram held by two or more nodes: ``gram, node, n, pos, size``."""
-        each = self.nodes.select("node", "n", F.posexplode("prefix").alias("pos", "gram"))
-        held = each.groupBy("gram").agg(F.count("*").alias("size")).filter("size > 1")
-        return stored(each.join(held, "gram"), "grams")
+        """A row for each prefix n-gram held by two or more nodes: ``gram, node, n, pos, size``.
 
-    def grams(self) -> DataFrame:
+        N-grams have their turns by hash. The nodes go on without their prefixes, which only this step reads.
+        """
+        entries = self.nodes.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
+        turns = turns_of(PREFIX_BYTES * entries)
+        found = []
+        for turn in range(turns):
+            each = self.nodes.select("node", "n", F.posexplode("prefix").alias("pos", "gram")).filter(F.pmod("gram", F.lit(turns)) == turn)
+            held = each.groupBy("gram").agg(F.count("*").alias("size")).filter("size > 1")
+            release(each.sparkSession)
+            found.append(stored(each.join(held, "gram"), "grams"))
+        grams = together(found, "grams")
+        whole, self.nodes = self.nodes, stored(self.nodes.drop("prefix"), "nodes")
+        discard(whole)
+        return grams
+
+    def grams(self, grams: DataFrame) -> DataFrame:
         """The rows of ``held``, each with the ``first`` node of its n-gram."""
-        grams = self.held()
         return grams.join(grams.groupBy("gram").agg(F.min(F.struct("n", "node", "pos")).alias("first")), "gram")
 
     def near(self, pairs: DataFrame) -> DataFrame:
@@ -236,9 +273,10 @@ class Join:
         return found.mapInArrow(build, "node long, grams binary").dropDuplicates(["node"])
 
     def verify(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that are links. Partners of a node are verified in salted blocks.
+        """The pairs that are links, stored. Partners of a node are verified in salted blocks.
 
         Of a pair the node with more pairs is the head of the block: its set is sent once for all.
+        Blocks have their turns, so that the sets of all never lie there at once.
         """
         degree = pairs.select(F.explode(F.array("a", "b")).alias("of")).groupBy("of").agg(F.count("*").alias("degree"))
         x, y = (degree.select(F.col("of").alias(c), F.struct("degree", "of").alias(f"of_{c}")) for c in "ab")
@@ -247,7 +285,8 @@ class Join:
         blocks = pairs.join(sizes, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"))
         heads = sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("a").alias("node"), F.lit(True).alias("head"))
         due = stored(heads.unionByName(blocks.select("a", "salt", F.col("b").alias("node"), F.lit(False).alias("head"))), "due")
-        sets = self.sets(due.select("node").distinct())
+        rows, grams = due.join(self.nodes.select("node", "n"), "node").agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+        turns = turns_of(8 * grams, rows)
         percent = self.percent
 
         def intersect(rows: pd.DataFrame) -> pd.DataFrame:
@@ -260,7 +299,14 @@ class Join:
                     links.append(node)
             return pd.DataFrame({"a": np.full(len(links), rows["a"].iloc[0]), "b": np.array(links, np.int64)})
 
-        return due.join(sets, "node").groupBy("a", "salt").applyInPandas(intersect, "a long, b long")
+        found = []
+        for turn in range(turns):
+            own = due.filter(F.pmod(F.xxhash64("a", "salt"), F.lit(turns)) == turn)
+            sets = own.join(self.sets(own.select("node").distinct()), "node")
+            release(due.sparkSession)
+            found.append(stored(sets.groupBy("a", "salt").applyInPandas(intersect, "a long, b long"), "links"))
+        discard(due)
+        return together(found, "links")
 
     def open_groups(self, grams: DataFrame, comps: DataFrame) -> tuple[DataFrame, int]:
         """Members of groups of several components, and how many lie outside the largest in large groups.
@@ -335,26 +381,29 @@ class Join:
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Verified pairs of nodes, enough to connect every component, and the components."""
-        grams = self.grams()
+        held = self.held()
+        grams = self.grams(held)
         star = grams.filter(F.col("node") != F.col("first.node")).filter(
             positional(F.col("n"), F.col("first.n"), F.col("pos"), F.col("first.pos"), self.percent)
         )
         tried = self.close(star.select(F.col("node").alias("a"), F.col("first.node").alias("b")))
-        found = stored(self.verify(tried), "links")
+        found = self.verify(tried)
         comps = components(found)
         members, outside = self.open_groups(grams, comps)
         turn, before = 0, 2 * outside
         while 0 < outside <= 0.75 * before:
             turn, before = turn + 1, outside
             pairs = stored(self.pivot_pairs(members, turn).join(tried, ["a", "b"], "left_anti"), "pivot-candidates")
-            new = stored(self.verify(pairs), "links")
+            new = self.verify(pairs)
             if new.isEmpty():
                 break
             tried, found = tried.unionByName(pairs), found.unionByName(new)
+            discard(members)
             comps = components(found)
             members, outside = self.open_groups(grams, comps)
         rest = stored(self.remaining_pairs(members).join(tried, ["a", "b"], "left_anti"), "more-candidates")
-        new = stored(self.verify(rest), "links")
+        discard(members, held)
+        new = self.verify(rest)
         if new.isEmpty():
             return found, comps
         every = found.unionByName(new)
@@ -365,8 +414,11 @@ class Join:
 
         Every node counts as its own component here, so no pair is left out as connected already.
         """
-        apart = self.held().withColumn("comp", F.col("node")).withColumn("main", F.lit(-1).cast("long"))
-        return stored(self.verify(stored(self.remaining_pairs(apart), "all-candidates")), "all-links")
+        held = self.held()
+        apart = held.withColumn("comp", F.col("node")).withColumn("main", F.lit(-1).cast("long"))
+        pairs = stored(self.remaining_pairs(apart), "all-candidates")
+        discard(held)
+        return self.verify(pairs)
 
     def classes(self, counted: bool = False) -> DataFrame:
         """``doc_id, text_hash, n_shingles, component_id`` for each row.
@@ -400,7 +452,11 @@ def report_links(docs: DataFrame, **options) -> DataFrame:
 
 def clean(docs: DataFrame, **options) -> DataFrame:
     """One document of each component, the one with the least id; all rows without an id stay."""
-    classes = Join(docs, **options).classes()
+    join = Join(docs, **options)
+    classes = join.classes()
     gone = classes.filter("doc_id <> component_id").select(F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_hash")).distinct()
+    gone = stored(gone, "gone")
+    discard(join.rows, join.nodes)
+    gone = small(gone, BROADCAST_ROWS)
     left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["g_id"]) & (text_key() == gone["g_hash"]), "left_anti")
     return left
