@@ -337,6 +337,18 @@ PURCHASE_FIELDS = (
     "is_delivery", "delivery_address", "purchase_datetime",
 )
 
+# What of an item is read, and the RAW columns that purchases and their items are made of.
+ITEM_PARTS = ("product_id", "quantity", "unit", "price_per_unit", "total_price")
+
+
+def purchase_columns(items: str = "all") -> list[str]:
+    place = (f"delivery_address_{p}" for p in (*PLACE, "apartment", "postal_code"))
+    parts = ["items"] if items == "all" else [f"items_{p}" for p in ITEM_PARTS]
+    return [
+        "purchase_id", "customer_customer_id", "store_store_id", "total_amount", "payment_method",
+        "is_delivery", *place, "purchase_datetime", *parts, VERSION,
+    ]
+
 
 def typed_purchases(purchases: DataFrame) -> DataFrame:
     place = "delivery_address"
@@ -401,21 +413,31 @@ def called(waiting: DataFrame, addresses: DataFrame) -> DataFrame:
 
 
 def typed_items(purchases: DataFrame, items: str = "all") -> DataFrame:
-    """Purchase items: every element of the list, or only the first in ``first`` mode."""
+    """Purchase items: every element of the list, or only the first in ``first`` mode.
+
+    What a purchase's items have in common is typed before they are taken apart.
+    """
+    common = [
+        clean_text(F.col("purchase_id")).alias("purchase_id"),
+        to_ts(F.col("purchase_datetime")).alias("purchase_datetime"),
+        F.col(VERSION),
+    ]
     if items == "all":
-        purchases = purchases.withColumn("_item", F.explode("items"))
+        rows = purchases.select(*common, F.explode("items").alias("_item"))
+    else:
+        rows = purchases.select(*common, *(f"items_{p}" for p in ITEM_PARTS))
 
     def part(name: str) -> Column:
         return F.col(f"_item.{name}" if items == "all" else f"items_{name}")
 
-    return purchases.select(
-        clean_text(F.col("purchase_id")).alias("purchase_id"),
+    return rows.select(
+        "purchase_id",
         clean_text(part("product_id")).alias("product_id"),
         to_int(part("quantity")).alias("quantity"),
         clean_text(part("unit")).alias("unit"),
         to_money(part("price_per_unit")).alias("price_per_unit"),
         to_money(part("total_price")).alias("total_price"),
-        to_ts(F.col("purchase_datetime")).alias("purchase_datetime"),
+        "purchase_datetime",
         VERSION,
     )
 

@@ -156,11 +156,13 @@ def customers(t: Source) -> DataFrame:
 
 
 def purchases(t: Source) -> DataFrame:
-    """One document per order line: the line's product and a gift from its supplier."""
+    """One document per order line: the line's product and a gift from its supplier.
+
+    Orders meet their customers first, so that the lines, which are more, are shuffled once.
+    """
     people = _with_nation(t, t.customer, "c_nationkey")
-    joined = t.lineitem.join(
-        t.orders, F.col("l_orderkey") == F.col("o_orderkey"), "left"
-    ).join(people, F.col("o_custkey") == F.col("c_custkey"), "left")
+    ordered = t.orders.join(people, F.col("o_custkey") == F.col("c_custkey"), "left")
+    joined = t.lineitem.join(ordered, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     price = F.col("l_extendedprice")
 
     def item(product: Column, quantity: Column, total: Column) -> Column:

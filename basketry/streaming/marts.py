@@ -41,6 +41,8 @@ from basketry.streaming.log import (
     touched,
 )
 
+# The entity that most envelopes are of.
+MOST = "purchases"
 PLACE = BUCKET_KEYS["addresses"]
 WAITING_PLACE = tuple(f"to_{c}" for c in PLACE)
 # The entities that bring rows to a mart, by themselves or by calling rows that wait.
@@ -135,8 +137,9 @@ def build_batch(base: str, items: str = "all") -> Callable[[DataFrame, int], Non
     """A ``foreachBatch`` function: transforms one batch of envelopes and appends to every mart.
 
     References are written before the dimensions and facts that look them up, so rows meet
-    what earlier batches or this one brought. Every text is parsed once and only the flat rows are
-    stored for the time of the batch; marts that none of its entities feeds are left alone.
+    what earlier batches or this one brought. The envelopes are read once: purchases are parsed on the way
+    and their flat rows stored for the time of the batch, as far as a mart reads them, beside the texts
+    of other entities, each parsed once from there. Marts that none of its entities feeds are left alone.
     """
 
     def build_one(batch: DataFrame, batch_id: int) -> None:
@@ -150,13 +153,22 @@ def build_batch(base: str, items: str = "all") -> Callable[[DataFrame, int], Non
         try:
             release(spark)
             _compact_all(spark, base, batch_id)
-            came = {r[0] for r in batch.select("topic").distinct().collect()}
+            most = F.col("topic") == MOST
+            judged = judge(batch, MOST, most)
+            unread = F.when(F.col("reason").isNotNull() | ~most, F.col("json_data"))
+            flat = flatten(judged.withColumn("json_data", unread), MOST, also=("topic", "reason"))
+            read = keep(flat.select("topic", "json_data", "reason", *build.purchase_columns(items)))
+            came = {r[0] for r in read.select("topic").distinct().collect()}
             raw = {}
             for entity in ENTITIES:
-                sent = batch.filter(F.col("topic") == entity) if entity in came else batch.limit(0)
-                unread = F.when(F.col("reason").isNotNull(), F.col("json_data"))
-                judged = judge(sent, entity).withColumn("json_data", unread)
-                flat = keep(flatten(judged, entity, also=("reason",)))
+                sent = read.filter(F.col("topic") == entity) if entity in came else read.limit(0)
+                if entity == MOST:
+                    flat = sent.drop("topic")
+                else:
+                    judged = judge(sent.select("topic", "json_data", VERSION), entity)
+                    unread = F.when(F.col("reason").isNotNull(), F.col("json_data"))
+                    flat = flatten(judged.withColumn("json_data", unread), entity, also=("reason",))
+                    flat = keep(flat)
                 raw[entity] = flat.filter(F.col("reason").isNull()).drop("json_data", "reason")
                 bad = flat.filter(F.col("reason").isNotNull())
                 folder = f"{base}/quarantine/topic={entity}/{BATCH}={batch_id}"
