@@ -42,7 +42,7 @@ def stream_raw_append(t: Source) -> DataFrame:
 BATCH_BYTES = 256 * 1024 * 1024
 # Envelopes are sent in slices, the next once the one before is consumed: so many documents, but
 # no more than so many slices.
-SLICE_ROWS, SLICES = 2_000_000, 16
+SLICE_ROWS, SLICES = 2_000_000, 12
 
 
 def _purchases_by_stream(t: Source, *turns: Sequence[str]) -> DataFrame:
